@@ -1,0 +1,4 @@
+"""Registered queries over the given tables, one or more per operator."""
+
+from tallyguard.catalog import (aggregate_queries, column_queries, source_queries)  # noqa: F401
+from tallyguard.catalog.registry import ORACLES, QUERIES  # noqa: F401

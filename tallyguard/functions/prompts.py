@@ -30,14 +30,14 @@ def feature_lines(df: DataFrame, cols: list[str] | None = None, label: str = "la
     any_float = any(isinstance(types[c], floating) for c in row)
 
     def shown(c: str) -> Column:
-        t = types[c]
+        t, value = types[c], F.col(f"`{c}`")
         if isinstance(t, floating) or (one_type and any_float):
-            number = F.col(c).cast("double")
+            number = value.cast("double")
             return F.when(number.isNull() | F.isnan(number), F.lit("nan")).otherwise(
                 F.format_string("%.4f", number))
         if isinstance(t, T.BooleanType):
-            return F.when(F.col(c), "True").when(~F.col(c), "False").otherwise("None")
-        return F.coalesce(F.col(c).cast("string"), F.lit("None"))
+            return F.when(value, "True").when(~value, "False").otherwise("None")
+        return F.coalesce(value.cast("string"), F.lit("None"))
 
     return F.concat_ws("\n", *[F.concat(F.lit(f"  - {c}: "), shown(c)) for c in names])
 
@@ -96,7 +96,7 @@ def risk_indicators(df: DataFrame, is_fraud: Column, key: Column, seed: int | st
         hit = next((c for c in df.columns if part in c.lower()), None)
         if hit is None:
             return None
-        return F.when(F.abs(F.col(hit).cast("double")) > AMOUNT_LIMIT, F.lit(remark))
+        return F.when(F.abs(F.col(f"`{hit}`").cast("double")) > AMOUNT_LIMIT, F.lit(remark))
 
     remarks = [r for r in (first_beyond("amount", fv.HIGH_AMOUNT_INDICATOR),
                            first_beyond("balance_diff", fv.BALANCE_INDICATOR)) if r is not None]

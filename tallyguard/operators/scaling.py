@@ -38,10 +38,18 @@ def impute(df: DataFrame, fills: dict) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def fit_scaler(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population standard deviation per column; a zero deviation becomes 1."""
+def fit_scaler(df: DataFrame, cols: list[str], fit_on: str = "all") -> dict[str, tuple[float, float]]:
+    """Mean and population standard deviation per column; a zero deviation becomes 1.
+
+    ``fit_on="train"`` uses the rows of the training split only, so nothing leaks from the
+    held-out splits; the default uses all rows.
+    """
+    if fit_on not in ("all", "train"):
+        raise ValueError("fit_on must be 'all' or 'train'")
     if not cols:
         return {}
+    if fit_on == "train":
+        df = df.where(F.col("split") == "train")
     row = df.agg(*[e for i, c in enumerate(cols) for e in (
         F.avg(F.col(c).cast("double")).alias(f"m{i}"),
         F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}"))]).first()
