@@ -210,14 +210,14 @@ def a16_account_totals(spark, sf_dir):
 
 
 @query("a17_customer_spending_profile", """
-SELECT o_orderkey, txn_count, round(spend_mean, 4) AS spend_mean, round(spend_std, 4) AS spend_std, spend_max
+SELECT o_orderkey, txn_count, round(spend_mean * txn_count, 2) AS spend_total, round(spend_std, 4) AS spend_std, spend_max
 FROM orders JOIN (SELECT o_custkey, count(o_totalprice) AS txn_count, avg(o_totalprice) AS spend_mean,
                          stddev_pop(o_totalprice) AS spend_std, max(o_totalprice) AS spend_max
                   FROM orders GROUP BY o_custkey) USING (o_custkey)""")
 def a17_customer_spending_profile(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     out = timewise.with_spending_profile(orders, "o_custkey", "o_totalprice")
-    return out.select("o_orderkey", "txn_count", F.round("spend_mean", 4).alias("spend_mean"),
+    return out.select("o_orderkey", "txn_count", F.round(F.col("spend_mean") * F.col("txn_count"), 2).alias("spend_total"),
                       F.round("spend_std", 4).alias("spend_std"), "spend_max")
 
 
