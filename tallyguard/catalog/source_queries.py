@@ -121,7 +121,7 @@ def s6_save_splits(spark, sf_dir):
     last = [c for c in back.columns if c != "split"][-1]
 
     def seen(kind):
-        return F.coalesce(*[F.when(F.col("split") == s, F.lit(counts[f"{s}_{kind}"]))
+        return F.coalesce(*[F.when(F.col("split") == s, F.lit(counts[f"{s}_{kind}"]).cast("bigint"))
                             for s in ("train", "val", "test")])
     return (back.groupBy("split").agg(F.count("*").alias("rows"), F.sum("label").alias("fraud"))
             .select("split", "rows", "fraud", seen("rows").alias("seen_rows"),

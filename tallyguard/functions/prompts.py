@@ -163,11 +163,11 @@ def message(role: str, content: str | Column) -> Column:
     return F.struct(F.lit(role).alias("role"), as_col(content).alias("content"))
 
 
-def to_chat_messages(examples: DataFrame) -> DataFrame:
-    """System, user and assistant messages with the metadata."""
+def to_chat_messages(examples: DataFrame, *keep: str) -> DataFrame:
+    """System, user and assistant messages with the metadata and the columns to keep."""
     return examples.select(
         F.array(message("system", "system"), message("user", "user"),
-                message("assistant", "assistant")).alias("messages"), "metadata")
+                message("assistant", "assistant")).alias("messages"), "metadata", *keep)
 
 
 def to_alpaca(examples: DataFrame) -> DataFrame:

@@ -112,8 +112,12 @@ def with_spending_profile(df: DataFrame, customer: str, amount: str | Column) ->
     return df.join(spending_profile(df, customer, amount), customer, "left")
 
 
-def grouped_transform(df: DataFrame, group: str | list[str], fn, schema) -> DataFrame:
-    """A pandas function per group that keeps the rows (general surface; one group must fit one
-    task, so prefer the sliced operators of this module for hot groups)."""
+def grouped_transform(df: DataFrame, group: str | list[str], values: dict[str, Column]) -> DataFrame:
+    """Rows with aggregates of their group as new columns; the rows stay as they are.
+
+    The aggregates are combined before the shuffle and joined back, so a hot group is never held
+    by one task, as it would be with a function over whole groups. Order-dependent transforms of a
+    group are ``running_txn_count`` and ``window_txn_count``.
+    """
     keys = [group] if isinstance(group, str) else group
-    return df.groupBy(*keys).applyInPandas(fn, schema)
+    return df.join(df.groupBy(*keys).agg(*[c.alias(n) for n, c in values.items()]), keys, "left")

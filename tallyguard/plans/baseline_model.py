@@ -2,32 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class BaselineModel:
+    """Features with their weights, and the intercept."""
+
+    features: list[str]
+    weights: list[float]
+    intercept: float
+
+
 def train_baseline(train: DataFrame, features: list[str], label: str = "label",
-                   max_iter: int = 20) -> PipelineModel:
-    """Logistic regression with balanced class weights."""
+                   max_iter: int = 20) -> BaselineModel:
+    """Logistic regression with balanced class weights, fitted by MLlib."""
     counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     weight = F.lit(1.0)
     for value, n in counts.items():
         weight = F.when(F.col(label) == value, F.lit(total / (len(counts) * n))).otherwise(weight)
-    stages = [VectorAssembler(inputCols=features, outputCol="_features"),
-              LogisticRegression(featuresCol="_features", labelCol=label, weightCol="_weight",
-                                 maxIter=max_iter)]
-    return Pipeline(stages=stages).fit(train.withColumn("_weight", weight))
-
-
-def predict(model: PipelineModel, rows: DataFrame, label: str = "label") -> DataFrame:
-    """y_true, y_pred and y_score of the rows."""
-    out = model.transform(rows.withColumn("_weight", F.lit(1.0)))
-    return out.withColumns({
-        "y_true": F.col(label).cast("int"), "y_pred": F.col("prediction").cast("int"),
-        "y_score": vector_to_array("probability")[1],
-    }).drop("_weight", "_features", "rawPrediction", "probability", "prediction")
+    assembled = VectorAssembler(inputCols=features, outputCol="_features").transform(
+        train.withColumn("_weight", weight))
+    fitted = LogisticRegression(featuresCol="_features", labelCol=label, weightCol="_weight",
+                                maxIter=max_iter).fit(assembled)
+    return BaselineModel(list(features), [float(w) for w in fitted.coefficients], float(fitted.intercept))
+
+
+def predict(model: BaselineModel, rows: DataFrame, label: str = "label") -> DataFrame:
+    """Add y_true, y_pred and y_score, as one expression inside the scan's code generation."""
+    terms = [F.col(f"`{c}`").cast("double") * F.lit(w) for c, w in zip(model.features, model.weights)]
+    margin = reduce(lambda a, b: a + b, terms, F.lit(model.intercept))
+    return rows.withColumn("y_score", 1 / (1 + F.exp(-margin))).withColumns({
+        "y_true": F.col(label).cast("int"), "y_pred": (F.col("y_score") > 0.5).cast("int")})
