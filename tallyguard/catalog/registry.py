@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,10 +76,19 @@ def sql_choice(values: list, key: str, slot: str, seed: int = 42) -> str:
 
 
 def sql_sample(values: list[str], n: int, key: str, slot: str, seed: int = 42) -> str:
-    """SQL text of ``sample_without_replacement``: a sorted list of 'hash|value', cut."""
-    tagged = (f"list_transform({sql_list(values)}, lambda v: "
-              f"md5('{seed}|{slot}|' || CAST({key} AS VARCHAR) || '|' || v) || v)")
-    return f"list_transform(list_sort({tagged})[1:{n}], lambda v: substr(v, 33))"
+    """SQL text of ``sample_without_replacement``: the drawn number read as n shrinking picks.
+
+    The orders are listed lexicographically, so the drawn number's leading part picks the first
+    value, and so on among the values left.
+    """
+    number = f"({sql_draw(key, slot, seed)} % {math.perm(len(values), n)})"
+    picks, rest, size = [], sql_list(values), len(values)
+    for i in range(n):
+        later = math.perm(size - 1, n - 1 - i)
+        pick = f"({rest})[CAST({number} // {later} % {size} AS BIGINT) + 1]"
+        picks.append(pick)
+        rest, size = f"list_filter({rest}, lambda v{i}: v{i} <> {pick})", size - 1
+    return f"[{', '.join(picks)}]"
 
 
 # --- model responses: valid, truncated, free text and empty, by turns -------------------------

@@ -6,12 +6,17 @@ retried; different slots of a row are independent.
 
 from __future__ import annotations
 
+import itertools
+import json
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallyguard.functions.columns import as_col
 
 DRAW_RANGE = 16 ** 8
+LISTED_ORDERS = 1_000
 
 
 def draw(key: str | Column, slot: str, seed: int | str = 42) -> Column:
@@ -33,7 +38,16 @@ def choice(values: list, key: str | Column, slot: str, seed: int | str = 42) ->
 
 def sample_without_replacement(values: list[str], n: int, key: str | Column, slot: str,
                                seed: int | str = 42) -> Column:
-    """``n`` different values in random order."""
+    """``n`` different values in random order.
+
+    Few possible orders are listed as one constant and one of them is drawn; where there are many,
+    the values are sorted by their own draw.
+    """
+    if math.perm(len(values), n) <= LISTED_ORDERS:
+        listed = [list(order) for order in itertools.permutations(values, n)]
+        orders = F.from_json(F.lit(json.dumps(listed)), "array<array<string>>")     # folded once
+        count = len(listed)
+        return F.element_at(orders, (draw(key, slot, seed) % count).cast("int") + 1)
     prefix = F.concat(F.lit(f"{seed}|{slot}|"), as_col(key).cast("string"), F.lit("|"))
     tagged = F.transform(
         F.array(*[F.lit(v) for v in values]),

@@ -96,12 +96,13 @@ def risk_indicators(df: DataFrame, is_fraud: Column, key: Column, seed: int | st
         hit = next((c for c in df.columns if part in c.lower()), None)
         if hit is None:
             return None
-        return F.when(F.abs(F.col(f"`{hit}`").cast("double")) > AMOUNT_LIMIT, F.lit(remark))
+        beyond = F.abs(F.col(f"`{hit}`").cast("double")) > AMOUNT_LIMIT
+        return F.when(beyond, F.array(F.lit(remark))).otherwise(F.array().cast("array<string>"))
 
     remarks = [r for r in (first_beyond("amount", fv.HIGH_AMOUNT_INDICATOR),
                            first_beyond("balance_diff", fv.BALANCE_INDICATOR)) if r is not None]
     drawn = sample_without_replacement(fv.FRAUD_INDICATORS, 3, key, "fraud-indicators", seed)
-    fraud = F.concat(F.array_compact(F.array(*remarks)), drawn) if remarks else drawn
+    fraud = F.concat(*remarks, drawn) if remarks else drawn
     legit = sample_without_replacement(fv.LEGIT_INDICATORS, 2, key, "legit-indicators", seed)
     return F.when(is_fraud, fraud).otherwise(legit)
 
@@ -127,10 +128,32 @@ def answer_fields(df: DataFrame, alias: str, is_fraud: Column, key: Column,
     }
 
 
+def fields_of_score(fields: dict[str, Column], score: Column) -> dict[str, Column]:
+    """The answer fields with the score, level and action taken from the given score column."""
+    return {**fields, "risk_score": score, "risk_level": risk_level(score),
+            "recommended_action": recommended_action(score)}
+
+
+def json_escaped(c: Column) -> Column:
+    """Text with backslashes, double quotes and line ends escaped for JSON."""
+    for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n")):
+        c = F.replace(c, F.lit(plain), F.lit(escaped))
+    return c
+
+
 def json_text(c: Column) -> Column:
     """A text (or null) as a JSON string token."""
-    escaped = F.regexp_replace(F.regexp_replace(c, r"(\\|\")", r"\\$1"), "\n", r"\\n")
-    return F.coalesce(F.concat(F.lit('"'), escaped, F.lit('"')), F.lit("null"))
+    return F.coalesce(F.concat(F.lit('"'), json_escaped(c), F.lit('"')), F.lit("null"))
+
+
+ITEM_MARK = "\x01"     # stands between list items while the joined text is escaped
+
+
+def json_list(c: Column) -> Column:
+    """A non-empty list of texts as JSON, one item per line. Joined before it is escaped, so no
+    function runs per item."""
+    items = F.replace(json_escaped(F.array_join(c, ITEM_MARK)), F.lit(ITEM_MARK), F.lit('",\n    "'))
+    return F.concat(F.lit('[\n    "'), items, F.lit('"\n  ]'))
 
 
 def assistant_json(fields: dict[str, Column]) -> Column:
@@ -138,10 +161,7 @@ def assistant_json(fields: dict[str, Column]) -> Column:
     def token(name: str, c: Column) -> Column:
         if name == "risk_score":
             return c.cast("string")
-        if name == "risk_indicators":
-            items = F.transform(c, lambda v: F.concat(F.lit("    "), json_text(v)))
-            return F.concat(F.lit("[\n"), F.array_join(items, ",\n"), F.lit("\n  ]"))
-        return json_text(c)
+        return json_list(c) if name == "risk_indicators" else json_text(c)
 
     lines = [F.concat(F.lit(f'  "{n}": '), token(n, c)) for n, c in fields.items()]
     return F.concat(F.lit("{\n"), F.concat_ws(",\n", *lines), F.lit("\n}"))
@@ -257,8 +277,7 @@ def preview(examples: DataFrame, n: int, order: str | Column) -> DataFrame:
 
 def token_count(text: str | Column) -> Column:
     """Whitespace-separated tokens of the whole text."""
-    t = F.btrim(F.regexp_replace(as_col(text), r"\s+", " "))
-    return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, " ")))
+    return F.regexp_count(as_col(text), F.lit(r"\S+"))
 
 
 def truncate_tokens(text: str | Column, limit: int) -> Column:

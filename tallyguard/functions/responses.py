@@ -29,15 +29,17 @@ def json_object(text: str | Column) -> Column:
     """The text as a variant if the whole text is one JSON object, else null.
 
     The parser ignores text after the first value. Wrapped once as a list and once as a member,
-    anything after the object breaks at least one of the two.
+    anything after the object breaks at least one of the two. Texts without outer braces are not
+    parsed at all.
     """
-    t = as_col(text)
+    t = F.btrim(as_col(text), F.lit(" \t\r\n"))
     listed = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
     member = F.try_parse_json(F.concat(F.lit('{"r":'), t, F.lit("}")))
     single = F.try_variant_get(listed, "$[1]", "variant").isNull()
     kind = F.schema_of_variant(F.try_variant_get(listed, "$[0]", "variant"))
-    return F.when(member.isNotNull() & single & kind.startswith("OBJECT"),
-                  F.try_variant_get(listed, "$[0]", "variant"))
+    braced = t.startswith("{") & t.endswith("}")
+    return F.when(braced, F.when(member.isNotNull() & single & kind.startswith("OBJECT"),
+                                 F.try_variant_get(listed, "$[0]", "variant")))
 
 
 def _kind(obj: Column, field: str) -> Column:

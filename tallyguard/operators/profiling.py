@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SMALL_MEDIAN_CELLS = 4_000_000   # up to this many values, one exact percentile aggregate
+SMALL_MEDIAN_CELLS = 500_000     # up to this many values, one exact percentile aggregate
 READ_OUT_VALUES = 10_000         # a value range with at most this many values is read out
 
 
@@ -113,7 +113,7 @@ def _range_counts(c: str, low: float, high: float) -> list[Column]:
     return [
         F.count_if(F.col(c) < low).alias(f"{c}_below"),
         F.count_if(inside).alias(f"{c}_inside"),
-        F.percentile_approx(F.when(inside, F.col(c)), [i / GRID for i in range(GRID + 1)], 10_000)
+        F.percentile_approx(F.when(inside, F.col(c)), [i / GRID for i in range(GRID + 1)], 1_000)
         .alias(f"{c}_q"),
     ]
 

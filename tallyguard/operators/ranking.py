@@ -32,15 +32,29 @@ def rank_key(*keys: str | Column, seed: int | str = DEFAULT_SEED) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in cols]))
 
 
+def _content_hash(df: DataFrame, seed: int | str) -> Column:
+    return _hex16(F.xxhash64(F.lit(str(seed)), *[F.col(f"`{c}`") for c in df.columns]))
+
+
+def _hex16(c: Column) -> Column:
+    return F.lpad(F.lower(F.hex(c)), 16, "0")
+
+
 def with_row_key(df: DataFrame, seed: int | str = DEFAULT_SEED) -> DataFrame:
     """Give a table without a natural key a stored unique ``_row_key``.
 
     The key is the content hash followed by a row id, so identical rows are neighbours in rank
     order and the picked rows do not depend on how the input was partitioned.
     """
-    content = F.md5(F.concat(F.lit(f"{seed}|"), F.to_json(F.struct(*df.columns))))
-    row_id = F.lpad(F.lower(F.hex(F.monotonically_increasing_id())), 16, "0")
-    return stored(df.withColumn(ROW_KEY, F.concat(content, row_id)), "row-key")
+    row_id = _hex16(F.monotonically_increasing_id())
+    return stored(df.withColumn(ROW_KEY, F.concat(_content_hash(df, seed), row_id)), "row-key")
+
+
+def with_file_row_key(scan: DataFrame, seed: int | str = DEFAULT_SEED) -> DataFrame:
+    """``with_row_key`` for a plain Parquet scan: the row's place in its file is the row id, so
+    nothing has to be stored."""
+    place = F.md5(F.concat_ws("|", "_metadata.file_path", F.col("_metadata.row_index").cast("string")))
+    return scan.withColumn(ROW_KEY, F.concat(_content_hash(scan, seed), place))
 
 
 def class_cutoffs(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,13 +21,13 @@ def score_batch(df: DataFrame, prompt: str, scorer_factory: Callable[[], Scorer]
     ``scorer_factory`` is called once per task, so a model is loaded once and then sees Arrow
     batches of prompts. Only the prompt column crosses to Python.
     """
-    def respond(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def respond(batches):
         scorer = scorer_factory()
         for batch in batches:
-            yield pd.Series(scorer(batch.tolist()), index=batch.index, dtype="object")
+            yield pa.array(scorer(batch.to_pylist()), pa.string())
 
-    respond.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return df.withColumn(out, F.pandas_udf(respond, "string")(F.col(prompt)))
+    respond.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return df.withColumn(out, F.arrow_udf(respond, "string")(F.col(prompt)))
 
 
 def rule_scorer(marker: str = "event_type: error", fraud_score: int = 5,

@@ -36,7 +36,6 @@ def smote_rows(minority: DataFrame, key: Column, features: list[str], n_new: int
         minority.select(key.alias("_rank_key"), vec.alias("_vec"),
                         F.struct(*others).alias("_others") if others else F.lit(0).alias("_others")),
         "_rank_key", out="_idx")
-    ranked = stored(ranked, "minority")
     m = ranked.count()
     if m <= k:
         raise ValueError(f"needs more than {k} minority rows, got {m}")

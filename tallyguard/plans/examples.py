@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyguard.fixed_values import DATASETS, TRAIN_SYSTEM_PROMPT
 from tallyguard.functions import prompts as P
-from tallyguard.operators.ranking import ROW_KEY, rank_key, with_row_key
+from tallyguard.operators.ranking import ROW_KEY, rank_key, with_file_row_key
 from tallyguard.operators.sampling import stratified_cap
 from tallyguard.sources.files import dataset_path, parquet_scan, path_exists
 from tallyguard.sources.sinks import write_jsonl
@@ -26,15 +26,16 @@ def row_to_example(df: DataFrame, alias: str, split: str | Column, key: Column,
     """
     features = df.select(*[F.col(f"`{c}`") for c in df.columns
                            if c != "split" and not c.startswith("_")])
-    lines = P.feature_lines(features, label=label)
-    is_fraud = F.col(label) == 1
-    answer = P.assistant_json(P.answer_fields(features, alias, is_fraud, key, seed))
-    return df.select(
+    answer = P.answer_fields(features, alias, F.col(label) == 1, F.col("_key"), seed)
+    # the score feeds three fields; as a column of its own it is drawn once
+    staged = df.withColumns({"_key": key, "_meta": P.example_metadata(alias, split, label)}).withColumns({
+        "_lines": P.feature_lines(features, label=label), "_risk_score": answer["risk_score"]})
+    answer = P.fields_of_score(answer, F.col("_risk_score"))
+    return staged.select(
         F.lit(TRAIN_SYSTEM_PROMPT).alias("system"),
-        P.train_user_prompt(alias, lines).alias("user"),
-        answer.alias("assistant"),
-        P.example_metadata(alias, split, label).alias("metadata"),
-        key.alias("_key"))
+        P.train_user_prompt(alias, F.col("_lines")).alias("user"),
+        P.assistant_json(answer).alias("assistant"),
+        F.col("_meta").alias("metadata"), "_key")
 
 
 def build_examples(spark: SparkSession, processed_dir: str, alias: str, split: str,
@@ -43,7 +44,7 @@ def build_examples(spark: SparkSession, processed_dir: str, alias: str, split: s
     if not path_exists(spark, dataset_path(processed_dir, alias)):
         print(f"[skip] {alias}/{split}: not found")
         return None
-    rows = with_row_key(parquet_scan(spark, processed_dir, alias, split).drop("split"), seed)
+    rows = with_file_row_key(parquet_scan(spark, processed_dir, alias, split), seed).drop("split")
     capped = stratified_cap(rows, F.col(ROW_KEY), max_rows)
     return row_to_example(capped, alias, split, F.col(ROW_KEY), seed=seed)
 
