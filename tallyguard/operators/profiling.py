@@ -70,66 +70,60 @@ def column_medians(df: DataFrame, cols: list[str], small_cells: int = SMALL_MEDI
             result.update(row.asDict())
         return {cols[i]: result[f"c{i}"] for i in range(len(cols))}
 
-    outer = {c: (first[f"{c}_min"], first[f"{c}_max"]) for c in live}
-    tries = {c: tuple(first[f"{c}_q"]) for c in live}
-    while live:
-        row = values.agg(*[
-            e for c in live for e in _range_counts(c, *tries[c])
-        ]).first()
-        small, still = [], []
-        for c in live:
-            n = first[f"{c}_n"]
-            ranks = ((n + 1) // 2, n // 2 + 1)          # the two middle ranks, equal if n is odd
-            below, inside = row[f"{c}_below"], row[f"{c}_inside"]
-            low, high = tries[c]
-            if not (below < ranks[0] and ranks[1] <= below + inside):
-                tries[c] = outer[c]                      # the guess missed the middle
-                still.append(c)
-            elif low == high:
-                result[c] = low
+    # one search per wanted rank: the two middle ranks, which are equal if the count is odd
+    found: dict[tuple, float] = {}
+    outer, tries = {}, {}
+    for c in live:
+        for rank in {(first[f"{c}_n"] + 1) // 2, first[f"{c}_n"] // 2 + 1}:
+            outer[(c, rank)] = (first[f"{c}_min"], first[f"{c}_max"])
+            tries[(c, rank)] = tuple(first[f"{c}_q"])
+    while tries:
+        searches = list(tries)
+        row = values.agg(*[e for i, s in enumerate(searches) for e in _range_counts(i, s[0], *tries[s])]).first()
+        read_out = []
+        for i, s in enumerate(searches):
+            low, high = tries.pop(s)
+            r = s[1] - row[f"below{i}"]
+            inside = row[f"inside{i}"]
+            if not 0 < r <= inside:                          # the guess missed the rank
+                tries[s] = outer[s]
+            elif r <= row[f"low{i}"]:
+                found[s] = low
+            elif r > inside - row[f"high{i}"]:
+                found[s] = high
             elif inside <= READ_OUT_VALUES:
-                small.append((c, low, high, ranks[0] - below, ranks[1] - below))
-            else:
-                outer[c] = (low, high)
-                q = row[f"{c}_q"]
-                a, b = (ranks[0] - below) / inside, (ranks[1] - below) / inside
-                tries[c] = _next_range(q, a, b, (low, high))
-                still.append(c)
-        if small:
+                read_out.append((s, low, high, r))
+            else:                                            # both ends are ruled out, so it shrinks
+                outer[s] = (row[f"inner_low{i}"], row[f"inner_high{i}"])
+                near = row[f"grid{i}"]
+                at = int(r / inside * GRID)
+                tries[s] = (max(near[max(at - 1, 0)], outer[s][0]), min(near[min(at + 2, GRID)], outer[s][1]))
+        if read_out:
             lists = values.agg(*[
-                F.array_sort(F.collect_list(F.when(F.col(c).between(lo, hi), F.col(c)))).alias(c)
-                for c, lo, hi, _, _ in small]).first()
-            for c, _, _, k1, k2 in small:
-                result[c] = (lists[c][k1 - 1] + lists[c][k2 - 1]) / 2
-        live = still
+                F.array_sort(F.collect_list(F.when(F.col(s[0]).between(lo, hi), F.col(s[0])))).alias(f"l{i}")
+                for i, (s, lo, hi, _) in enumerate(read_out)]).first()
+            found.update({s: lists[f"l{i}"][r - 1] for i, (s, _, _, r) in enumerate(read_out)})
+    for c in live:
+        n = first[f"{c}_n"]
+        result[c] = (found[(c, (n + 1) // 2)] + found[(c, n // 2 + 1)]) / 2
     return {cols[i]: result[f"c{i}"] for i in range(len(cols))}
 
 
 GRID = 200   # quantile grid inside a range; each pass narrows a range about a hundredfold
 
 
-def _range_counts(c: str, low: float, high: float) -> list[Column]:
-    inside = F.col(c).between(low, high)
+def _range_counts(i: int, c: str, low: float, high: float) -> list[Column]:
+    v = F.col(c)
+    inside = v.between(low, high)
+    inner = F.when((v > low) & (v < high), v)
     return [
-        F.count_if(F.col(c) < low).alias(f"{c}_below"),
-        F.count_if(inside).alias(f"{c}_inside"),
-        F.percentile_approx(F.when(inside, F.col(c)), [i / GRID for i in range(GRID + 1)], 1_000)
-        .alias(f"{c}_q"),
+        F.count_if(v < low).alias(f"below{i}"), F.count_if(inside).alias(f"inside{i}"),
+        F.count_if(v == low).alias(f"low{i}"), F.count_if(v == high).alias(f"high{i}"),
+        F.min(inner).alias(f"inner_low{i}"), F.max(inner).alias(f"inner_high{i}"),
+        F.percentile_approx(F.when(inside, v), [g / GRID for g in range(GRID + 1)], 1_000).alias(f"grid{i}"),
     ]
 
 
-def _next_range(grid: list[float], a: float, b: float, now: tuple[float, float]) -> tuple[float, float]:
-    lo = max(int(a * GRID) - 1, 0)
-    hi = min(int(b * GRID) + 2, GRID)
-    new = (grid[lo], grid[hi])
-    if new != now:
-        return new
-    # a value range that no longer shrinks by quantiles is halved by value
-    middle = (now[0] + now[1]) / 2
-    centre = grid[min(int(a * GRID), GRID)]
-    return (now[0], middle) if centre <= middle else (middle, now[1])
-
-
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """Long table (column, value as text, rows) of several columns from one shuffle."""
     pairs = F.array(*[
