@@ -157,13 +157,20 @@ def _work_blocks(wanted: DataFrame, search: DataFrame, n: int, points_per_pivot:
 
     chunks = [(int(c), max(1, math.ceil(int(in_q[c]) / query_block)),
                max(1, math.ceil(int(in_s.get(c, 0)) / search_block))) for c in in_q]
-    # one row per cell, at most MAX_PIVOTS
-    plan = F.broadcast(spark.createDataFrame(chunks, "cell int, n_q int, n_s int"))
-    blocks_q = (queries.join(plan, "cell")
+
+    def with_chunks(df: DataFrame) -> DataFrame:
+        if n_pivots == 1:
+            _, n_q, n_s = chunks[0]
+            return df.withColumns({"n_q": F.lit(n_q), "n_s": F.lit(n_s)})
+        # one row per cell, at most MAX_PIVOTS
+        plan = F.broadcast(spark.createDataFrame(chunks, "cell int, n_q int, n_s int"))
+        return df.join(plan, "cell")
+
+    blocks_q = (with_chunks(queries)
                 .withColumn("q_chunk", F.pmod(F.xxhash64("vid"), F.col("n_q")).cast("int"))
                 .withColumn("s_chunk", F.explode(F.sequence(F.lit(0), F.col("n_s") - 1)))
                 .select("cell", "q_chunk", "s_chunk", "vid", "q_vec"))
-    blocks_s = (sent.join(plan, "cell")
+    blocks_s = (with_chunks(sent)
                 .withColumn("s_chunk", F.pmod(F.xxhash64("key"), F.col("n_s")).cast("int"))
                 .withColumn("q_chunk", F.explode(F.sequence(F.lit(0), F.col("n_q") - 1)))
                 .select("cell", "q_chunk", "s_chunk", "key", "vec"))
