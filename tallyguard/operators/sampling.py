@@ -30,12 +30,14 @@ def stratified_split(df: DataFrame, key: Column, label: str = "label") -> DataFr
         return {g: [split_sizes(n)[0], sum(split_sizes(n))] for g, n in counts.items()}
 
     _, cuts = class_cutoffs(df, key, sizes, by=label)
+    # as a column of its own the hash is computed once per row
+    ranked = F.col("_rank_key")
     split = (
-        F.when(within_cutoff(key, cuts, label, 0), "test")
-        .when(within_cutoff(key, cuts, label, 1), "val")
+        F.when(within_cutoff(ranked, cuts, label, 0), "test")
+        .when(within_cutoff(ranked, cuts, label, 1), "val")
         .otherwise("train")
     )
-    return df.withColumn("split", split)
+    return df.withColumn("_rank_key", key).withColumn("split", split).drop("_rank_key")
 
 
 def exact_fraction_sample(df: DataFrame, key: Column, fraction: float) -> DataFrame:
