@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tallyguard.llm import line_dedup, ngram_join
+from tallyguard.llm import line_dedup, ngram_join, packing
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2,
     "op8_ngram_jaccard_join": ngram_join.op8,
+    "op10_best_fit_packing": packing.op10,
 }
 ORACLES = {
     "op8_ngram_jaccard_join": ngram_join.ORACLE,
