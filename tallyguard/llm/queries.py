@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tallyguard.llm import line_dedup, ngram_join, packing
+from tallyguard.llm import line_dedup, ngram_join, packing, repetition, toxicity
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2,
+    "op3_toxicity": toxicity.op3,
+    "op7_quality_rules": repetition.op7,
     "op8_ngram_jaccard_join": ngram_join.op8,
     "op10_best_fit_packing": packing.op10,
 }
