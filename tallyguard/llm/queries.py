@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tallyguard.llm import line_dedup, ngram_join, packing, repetition, toxicity
+from tallyguard.llm import fingerprints, line_dedup, ngram_join, packing, quality, repetition, toxicity
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2,
     "op3_toxicity": toxicity.op3,
+    "op4_document_fingerprints": fingerprints.op4,
     "op7_quality_rules": repetition.op7,
     "op8_ngram_jaccard_join": ngram_join.op8,
+    "op9_quality_classifier": quality.op9,
     "op10_best_fit_packing": packing.op10,
 }
 ORACLES = {
