@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallyguard.llm import fingerprints, line_dedup, ngram_join, packing, quality, repetition, toxicity
+from tallyguard.llm import fingerprints, line_dedup, ngram_join, packing, quality, repetition, sanitise, toxicity
 
 QUERIES = {
+    "op1_pii_sanitisation": sanitise.op1,
     "op2_line_dedup": line_dedup.op2,
     "op3_toxicity": toxicity.op3,
     "op4_document_fingerprints": fingerprints.op4,
