@@ -39,15 +39,15 @@ def a2_null_fraction(spark, sf_dir):
 
 
 URGENT = f"""(SELECT c_custkey, c_acctbal, c_mktsegment, urgent FROM customer LEFT JOIN
-  (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS urgent FROM orders
-   WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey) ON c_custkey = o_custkey)"""
+  (SELECT o_custkey, CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS urgent
+   FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey)"""
 
 
 def urgent_customers(spark, sf_dir):
     """Customers with the sum of their urgent orders, null where there is none."""
-    urgent = (table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
-              .groupBy(F.col("o_custkey").alias("c_custkey"))
-              .agg(F.sum(F.col("o_totalprice").cast(MONEY)).cast("double").alias("urgent")))
+    price = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice").cast(MONEY))
+    urgent = (table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
+              .agg(F.sum(price).cast("double").alias("urgent")))
     return (table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
             .join(urgent, "c_custkey", "left"))
 
@@ -67,9 +67,9 @@ SELECT 'l_extendedprice' AS column_name, round(median(l_extendedprice), 4) AS me
 UNION ALL SELECT 'l_quantity', round(median(l_quantity), 4) FROM lineitem
 UNION ALL SELECT 'l_discount', round(median(l_discount), 4) FROM lineitem""")
 def a3_column_median_narrowed(spark, sf_dir):
-    """The large-table path: the value range is narrowed until it can be read out."""
+    """Three columns share one search over a large table."""
     df = table(spark, sf_dir, "lineitem")
-    medians = profiling.column_medians(df, ["l_extendedprice", "l_quantity", "l_discount"], small_cells=0)
+    medians = profiling.column_medians(df, ["l_extendedprice", "l_quantity", "l_discount"])
     return _fit_frame(spark, df, {c: round(m, 4) for c, m in medians.items()},
                       "column_name string, median double")
 

@@ -160,11 +160,8 @@ def e8_recipe_ieee_cis(spark, sf_dir):
 
 
 @query("e8_recipe_paysim", _summary_sql(f"""
-SELECT k, label, amount_sum, ratio_sum, click_sum FROM (
-  SELECT {EVENT_KEY} AS k, CAST(event_type = 'error' AS INTEGER) AS label, {_z('value', 'amount_sum')},
-         value / (100 + 1e-9) AS ratio_sum, CAST(event_type = 'click' AS DOUBLE) AS click_sum,
-         row_number() OVER (ORDER BY {EVENT_KEY}) AS r, count(*) OVER () AS n FROM events)
-WHERE r <= round_even(CAST(0.10 AS DOUBLE) * n, 0)""", ["amount_sum", "ratio_sum", "click_sum"]))
+SELECT {EVENT_KEY} AS k, CAST(event_type = 'error' AS INTEGER) AS label, {_z('value', 'amount_sum')},
+       value / (100 + 1e-9) AS ratio_sum, CAST(event_type = 'click' AS DOUBLE) AS click_sum FROM events""", ["amount_sum", "ratio_sum", "click_sum"]))
 def e8_recipe_paysim(spark, sf_dir):
     df = table(spark, sf_dir, "events")
     raw = df.select(
@@ -179,14 +176,14 @@ def e8_recipe_paysim(spark, sf_dir):
 
 @query("e8_recipe_ibm_aml", _summary_sql(f"""
 SELECT {EVENT_KEY} AS k, label, {_z('value', 'amount_sum')}, CAST(hour(ts) AS DOUBLE) AS hour_sum,
-       CAST(count(*) OVER (PARTITION BY user_id ORDER BY date_trunc('second', ts), {EVENT_KEY}
+       CAST(count(*) OVER (PARTITION BY user_id ORDER BY date_trunc('minute', ts), {EVENT_KEY}
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS count_sum,
        CAST(dense_rank() OVER (ORDER BY CAST(user_id AS VARCHAR)) - 1 AS DOUBLE) AS account_sum,
        CAST(dense_rank() OVER (ORDER BY props) - 1 AS DOUBLE) AS account_1_sum FROM {LABELLED}""",
     ["amount_sum", "hour_sum", "count_sum", "account_sum", "account_1_sum"]))
 def e8_recipe_ibm_aml(spark, sf_dir):
     raw = labelled(spark, sf_dir).select(
-        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Timestamp"),
+        "event_id", F.date_format("ts", "yyyy/MM/dd HH:mm").alias("Timestamp"),
         F.col("user_id").cast("string").alias("Account"), F.col("props").alias("Account.1"),
         F.lit("Euro").alias("Payment Currency"), F.lit("Euro").alias("Receiving Currency"),
         F.col("event_type").alias("Payment Format"), F.col("value").alias("Amount Paid"),

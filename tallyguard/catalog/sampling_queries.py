@@ -189,7 +189,7 @@ def u1_concat(spark, sf_dir):
 @query("u2_combine_datasets", """
 SELECT dataset, count(*) AS rows, CAST(sum(fraud) AS BIGINT) AS fraud FROM (
   SELECT 'events' AS dataset, CAST(event_type = 'error' AND value > 60 AS INTEGER) AS fraud FROM events
-  UNION ALL SELECT 'documents', toxic FROM documents JOIN labels USING (doc_id)
+  UNION ALL SELECT 'documents', coalesce(toxic, 0) FROM documents LEFT JOIN labels USING (doc_id)
   UNION ALL SELECT 'orders', CAST(o_orderstatus = 'F' AS INTEGER) FROM orders)
 GROUP BY dataset""")
 def u2_combine_datasets(spark, sf_dir):
@@ -197,7 +197,7 @@ def u2_combine_datasets(spark, sf_dir):
     def examples(df, name, text, label):
         return df.select(F.lit("s").alias("system"), text.cast("string").alias("user"),
                          P.example_metadata(name, "train", label).alias("metadata"))
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left").fillna(0, ["toxic"])
     orders = table(spark, sf_dir, "orders")
     combined = combine_datasets([
         examples(labelled(spark, sf_dir), "events", F.col("event_type"), "label"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,8 +61,8 @@ def s3_parquet_scan(spark, sf_dir):
 
 
 def _document_chat(spark, sf_dir):
-    """Documents as chat lines: the text as user message, toxicity as label."""
-    df = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    """All documents as chat lines: the text as user message, toxicity as label, 0 where there is none."""
+    df = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left").fillna(0, ["toxic"])
     meta = P.example_metadata(F.col("lang"), F.lit("test"), F.col("toxic"))
     return df.select(
         F.array(P.message("system", F.lit("s")), P.message("user", "text")).alias("messages"),
@@ -69,8 +70,8 @@ def _document_chat(spark, sf_dir):
 
 
 @query("s4_jsonl_scan", """
-SELECT lang AS dataset, toxic AS label, CAST(toxic = 1 AS BOOLEAN) AS is_fraud, md5(text) AS user_md5
-FROM documents JOIN labels USING (doc_id)""")
+SELECT lang AS dataset, coalesce(toxic, 0) AS label, coalesce(toxic, 0) = 1 AS is_fraud, md5(text) AS user_md5
+FROM documents LEFT JOIN labels USING (doc_id)""")
 def s4_jsonl_scan(spark, sf_dir):
     path = scratch_path(spark, "jsonl")
     sinks.write_jsonl(_document_chat(spark, sf_dir), path)
@@ -81,8 +82,8 @@ def s4_jsonl_scan(spark, sf_dir):
 
 @query("s4_jsonl_pair", """
 SELECT CASE WHEN lang = 'en' THEN 'train' ELSE 'validation' END AS split,
-       CAST(sum(toxic) AS BIGINT) AS fraud, count(*) AS rows
-FROM documents JOIN labels USING (doc_id) GROUP BY 1""")
+       CAST(sum(coalesce(toxic, 0)) AS BIGINT) AS fraud, count(*) AS rows
+FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1""")
 def s4_jsonl_pair(spark, sf_dir):
     chat = _document_chat(spark, sf_dir)
     train, val = scratch_path(spark, "train-jsonl"), scratch_path(spark, "val-jsonl")
@@ -129,19 +130,21 @@ def s6_save_splits(spark, sf_dir):
 
 
 @query("s7_write_jsonl", f"""
-SELECT split, count(*) AS lines, CAST(sum(label) AS BIGINT) AS fraud, CAST(sum(length(event_type)) AS BIGINT) AS text_length
-FROM {sql_split(LABELLED, EVENT_KEY)} GROUP BY split""")
+SELECT split, CAST(event_id AS VARCHAR) AS event, label, row_number() OVER (PARTITION BY split ORDER BY {EVENT_KEY}) AS position
+FROM {sql_split(LABELLED, EVENT_KEY)}""")
 def s7_write_jsonl(spark, sf_dir):
-    """Shuffled examples, one folder per split, read back and counted."""
+    """Shuffled examples, one folder per split, read back with their positions in the files."""
     rows = stratified_split(labelled(spark, sf_dir), rank_key("event_id"))
     meta = P.example_metadata("events", F.col("split"), "label")
-    chat = rows.select(F.array(P.message("user", "event_type")).alias("messages"),
-                       meta.alias("metadata"), "split", "event_id")
+    chat = rows.select(F.array(P.message("user", F.col("event_id").cast("string"))).alias("messages"),
+                       meta.alias("metadata"), "split")
     path = scratch_path(spark, "jsonl")
-    sinks.write_jsonl(chat.orderBy(rank_key("event_id")).drop("event_id"), path)
-    return (files.jsonl_scan(spark, path).groupBy("metadata.split")
-            .agg(F.count("*").alias("lines"), F.sum("metadata.label").alias("fraud"),
-                 F.sum(F.length(P.first_user_content("messages"))).alias("text_length")))
+    sinks.write_jsonl(chat, path, rank_key(F.col("messages")[0]["content"]))
+    read = files.jsonl_scan(spark, path).select(
+        "metadata.split", "metadata.label", P.first_user_content("messages").alias("event"),
+        F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"))
+    order = Window.partitionBy("split").orderBy("file", "line")
+    return read.select("split", "event", "label", F.row_number().over(order).alias("position"))
 
 
 METRICS_SQL = f"""

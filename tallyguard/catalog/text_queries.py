@@ -336,16 +336,14 @@ def m1_score_batch(spark, sf_dir):
 
 
 @query("m1_score_examples", f"""
-SELECT y_true, y_pred, count(*) AS rows FROM (
-  SELECT label AS y_true, CAST(event_type = 'error' AS INTEGER) AS y_pred,
-         row_number() OVER (PARTITION BY label ORDER BY event_id) AS r, sum(label) OVER () AS n FROM {LABELLED})
-WHERE r <= CASE y_true WHEN 1 THEN least(250, n) ELSE 500 - least(250, n) END GROUP BY 1, 2""")
+SELECT label AS y_true, CAST(event_type = 'error' AS INTEGER) AS y_pred, count(*) AS rows
+FROM {LABELLED} GROUP BY 1, 2""")
 def m1_score_examples(spark, sf_dir):
-    """The balanced head of chat examples through scorer and parser."""
+    """All chat examples through scorer and parser."""
     df = _mixed(spark, sf_dir).withColumnRenamed("event_id", "_id")
     examples = row_to_example(df, "paysim", "test", F.col("_id"))
     chat = P.to_chat_messages(examples, "_key")
-    scored = score_examples(chat, RULE, 500, line_key("_key"))
+    scored = score_examples(chat, RULE)
     return scored.groupBy("y_true", "y_pred").agg(F.count("*").alias("rows"))
 
 

@@ -244,3 +244,10 @@ REGISTRY = [
         "license": "CC BY-SA 4.0",
     },
 ]
+
+# Columns of two recipes, and texts and forms that raw files use for missing values and times.
+AML_ENCODED = ["payment_currency", "receiving_currency", "payment_format", "account", "account.1"]
+PAYSIM_DROPPED = ["nameOrig", "nameDest", "isFlaggedFraud", "oldbalanceOrg", "newbalanceOrig",
+                  "oldbalanceDest", "newbalanceDest"]
+MISSING_TEXTS = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None"]
+TIME_FORMATS = ["yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy/MM/dd"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyguard.fixed_values import AGE_CODES, CLASS_CODES
+from tallyguard.fixed_values import AGE_CODES, CLASS_CODES, TIME_FORMATS
 
 
 def as_col(c: str | Column) -> Column:
@@ -13,9 +13,14 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_ts_or_null(c: str | Column, fmt: str | None = None) -> Column:
-    """Timestamp, or null where the text cannot be read."""
-    return F.try_to_timestamp(as_col(c), F.lit(fmt)) if fmt else F.try_to_timestamp(as_col(c))
+def parse_ts_or_null(c: str | Column, fmt: str | tuple[str, ...] | list[str] | None = None) -> Column:
+    """Timestamp, or null where the text cannot be read.
+
+    Formats are tried in order; without any these are the slash dates of TIME_FORMATS, then dashed dates.
+    """
+    if fmt is not None:
+        return F.coalesce(*[F.try_to_timestamp(as_col(c), F.lit(f)) for f in ([fmt] if isinstance(fmt, str) else fmt)])
+    return F.coalesce(*[F.try_to_timestamp(as_col(c), F.lit(f)) for f in TIME_FORMATS], F.try_to_timestamp(as_col(c)))
 
 
 def strip_quotes(c: str | Column) -> Column:

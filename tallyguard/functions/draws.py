@@ -6,8 +6,6 @@ retried; different slots of a row are independent.
 
 from __future__ import annotations
 
-import itertools
-import json
 import math
 
 from pyspark.sql import Column
@@ -16,7 +14,6 @@ from pyspark.sql import functions as F
 from tallyguard.functions.columns import as_col
 
 DRAW_RANGE = 16 ** 8
-LISTED_ORDERS = 1_000
 
 
 def draw(key: str | Column, slot: str, seed: int | str = 42) -> Column:
@@ -40,17 +37,18 @@ def sample_without_replacement(values: list[str], n: int, key: str | Column, slo
                                seed: int | str = 42) -> Column:
     """``n`` different values in random order.
 
-    Few possible orders are listed as one constant and one of them is drawn; where there are many,
-    the values are sorted by their own draw.
+    One draw is read as n shrinking picks: its leading part picks the first value, the next part one
+    of those left, and so on, whatever the number of values.
     """
-    if math.perm(len(values), n) <= LISTED_ORDERS:
-        listed = [list(order) for order in itertools.permutations(values, n)]
-        orders = F.from_json(F.lit(json.dumps(listed)), "array<array<string>>")     # folded once
-        count = len(listed)
-        return F.element_at(orders, (draw(key, slot, seed) % count).cast("int") + 1)
-    prefix = F.concat(F.lit(f"{seed}|{slot}|"), as_col(key).cast("string"), F.lit("|"))
-    tagged = F.transform(
-        F.array(*[F.lit(v) for v in values]),
-        lambda v: F.struct(F.md5(F.concat(prefix, v)).alias("h"), v.alias("v")),
-    )
-    return F.transform(F.slice(F.array_sort(tagged), 1, n), lambda s: s["v"])
+    orders = math.perm(len(values), n)
+    if orders > DRAW_RANGE:
+        raise ValueError(f"{n} of {len(values)} values have more orders than one draw can tell apart")
+    number = draw(key, slot, seed) % orders
+    rest, picks = F.array(*[F.lit(v) for v in values]), []
+    for i in range(n):
+        size = len(values) - i
+        later = math.perm(size - 1, n - 1 - i)
+        at = (F.floor(number / later) % size).cast("int")
+        picks.append(F.element_at(rest, at + 1))
+        rest = F.concat(F.slice(rest, F.lit(1), at), F.slice(rest, at + 2, F.lit(size)))
+    return F.array(*picks)

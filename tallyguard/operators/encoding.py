@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyguard.functions.columns import to_text
@@ -10,8 +10,6 @@ from tallyguard.operators.profiling import value_counts
 from tallyguard.session import stored
 
 BROADCAST_VALUES = 100_000     # dictionaries up to this many values are broadcast
-WINDOW_VALUES = 200_000        # all dictionaries together up to this size are ranked in one window
-ONE_HOT_LIMIT = 1_000          # more categories than this make no usable set of columns
 ROWS_PER_ID_BLOCK = 1 << 33    # monotonically_increasing_id: partition number above bit 33
 
 
@@ -43,17 +41,12 @@ def fit_vocabulary(df: DataFrame, cols: list[str]) -> tuple[DataFrame, dict[str,
     )
     sizes = {r["column"]: r["n"] for r in
              counts.groupBy("column").agg(F.count("*").alias("n")).collect()}
-    if sum(sizes.values()) <= WINDOW_VALUES:
-        w = Window.partitionBy("column").orderBy("value")
-        vocab = counts.select("column", "value", (F.row_number().over(w) - 1).cast("bigint").alias("code"))
-    else:
-        indexed = ordered_index(counts.select("column", "value"), "column", "value")
-        start, before = {}, 0
-        for c in sorted(sizes, key=lambda s: s.encode()):
-            start[c], before = before, before + sizes[c]
-        first = F.create_map(*[F.lit(x) for kv in start.items() for x in kv])[F.col("column")]
-        vocab = indexed.select("column", "value", (F.col("idx") - first).cast("bigint").alias("code"))
-    return stored(vocab, "vocabulary"), sizes
+    indexed = ordered_index(counts.select("column", "value"), "column", "value")
+    start, before = {}, 0
+    for c in sorted(sizes, key=lambda s: s.encode()):
+        start[c], before = before, before + sizes[c]
+    first = F.coalesce(*[F.when(F.col("column") == c, n) for c, n in start.items()], F.lit(0))
+    return indexed.select("column", "value", (F.col("idx") - first).cast("bigint").alias("code")), sizes
 
 
 def dictionary_join(df: DataFrame, vocab: DataFrame, col: str, size: int | None = None,
@@ -80,11 +73,14 @@ def label_encode(df: DataFrame, cols: list[str]) -> DataFrame:
     return df
 
 
-def fit_categories(df: DataFrame, col: str, limit: int = ONE_HOT_LIMIT) -> list[str]:
-    """Sorted non-null categories of a column that is to become columns itself."""
-    rows = (df.select(F.col(col).cast("string").alias("v")).where("v is not null")
-            .distinct().limit(limit + 1).collect())
-    if len(rows) > limit:
+def fit_categories(df: DataFrame, col: str, limit: int | None = None) -> list[str]:
+    """Sorted non-null categories of a column that is to become columns itself.
+
+    The schema holds them all, so there is no bound unless ``limit`` asks for an error beyond it.
+    """
+    found = df.select(F.col(col).cast("string").alias("v")).where("v is not null").distinct()
+    rows = (found if limit is None else found.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"{col} has more than {limit} categories; use label_encode")
     return sorted((r["v"] for r in rows), key=lambda s: s.encode())
 

@@ -73,10 +73,12 @@ def score_metrics(matrix: DataFrame) -> DataFrame:
 def auroc(cells: DataFrame, slices: int | None = None) -> DataFrame:
     """Area under the ROC curve over all cells, ties half-counted; null if one class is missing.
 
+    Rows without a score (null or NaN) are left out.
+
     Works on distinct scores, cut into slices, so neither rows nor scores meet in one task.
     """
     scores = stored(
-        cells.groupBy("y_score").agg(
+        cells.where(F.col("y_score").isNotNull() & ~F.isnan("y_score")).groupBy("y_score").agg(
             F.coalesce(F.sum(F.when(F.col("y_true") == 1, F.col("rows"))), F.lit(0)).alias("pos"),
             F.coalesce(F.sum(F.when(F.col("y_true") == 0, F.col("rows"))), F.lit(0)).alias("neg"),
         ), "scores")

@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 
 from tallyguard.session import stored
 
-MAX_PIVOTS = 1_000
-POINTS_PER_PIVOT = 20_000     # below this many points there is one cell and nothing to prune
+PIVOT_SHARE = 1 / 16          # cells for every square root of the points, at every size
 QUERY_BLOCK = 1_024
 SEARCH_BLOCK = 8_192
 SUB_BLOCK = 256               # query rows per distance matrix
@@ -71,7 +70,7 @@ def _block_function(n: int):
 
 
 def knn_self_join(points: DataFrame, k: int, queries: DataFrame | None = None,
-                  key: str = "key", vec: str = "vec", points_per_pivot: int = POINTS_PER_PIVOT,
+                  key: str = "key", vec: str = "vec", pivot_share: float = PIVOT_SHARE,
                   query_block: int = QUERY_BLOCK, search_block: int = SEARCH_BLOCK) -> DataFrame:
     """The k nearest other points of each point: (key, neighbour, rank, distance).
 
@@ -92,7 +91,7 @@ def knn_self_join(points: DataFrame, k: int, queries: DataFrame | None = None,
     if queries is not None:
         wanted = wanted.join(asked.select("vid").distinct(), "vid", "left_semi")
 
-    blocks_q, blocks_s = _work_blocks(wanted, search, n, points_per_pivot, query_block, search_block)
+    blocks_q, blocks_s = _work_blocks(wanted, search, n, pivot_share, query_block, search_block)
     unit = ["cell", "q_chunk", "s_chunk"]
     found = (blocks_q.groupBy(*unit).cogroup(blocks_s.groupBy(*unit))
              .applyInPandas(_block_function(n), "vid string, neighbour string, sq double"))
@@ -108,12 +107,12 @@ def knn_self_join(points: DataFrame, k: int, queries: DataFrame | None = None,
                     (F.col("p") + 1).alias("rank"), F.sqrt("e.sq").alias("distance")))
 
 
-def _work_blocks(wanted: DataFrame, search: DataFrame, n: int, points_per_pivot: int,
+def _work_blocks(wanted: DataFrame, search: DataFrame, n: int, pivot_share: float,
                  query_block: int, search_block: int) -> tuple[DataFrame, DataFrame]:
     """Query and search rows with their work unit (cell, q_chunk, s_chunk)."""
     spark = search.sparkSession
     n_search = search.count()
-    n_pivots = max(1, min(MAX_PIVOTS, n_search // points_per_pivot))
+    n_pivots = max(1, round(pivot_share * math.sqrt(n_search)))
     pivots = _matrix(search.where("copy = 1").orderBy("vid").limit(n_pivots).toPandas()["vec"])
     if not len(pivots):
         pivots = np.zeros((1, 1))
@@ -162,7 +161,7 @@ def _work_blocks(wanted: DataFrame, search: DataFrame, n: int, points_per_pivot:
         if n_pivots == 1:
             _, n_q, n_s = chunks[0]
             return df.withColumns({"n_q": F.lit(n_q), "n_s": F.lit(n_s)})
-        # one row per cell, at most MAX_PIVOTS
+        # one row per cell, a share of the square root of the points
         plan = F.broadcast(spark.createDataFrame(chunks, "cell int, n_q int, n_s int"))
         return df.join(plan, "cell")
 

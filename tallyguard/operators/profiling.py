@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SMALL_MEDIAN_CELLS = 500_000     # up to this many values, one exact percentile aggregate
-READ_OUT_VALUES = 10_000         # a value range with at most this many values is read out
+READ_OUT_VALUES = 10_000         # a value range with about this many distinct values is counted out
 
 
 def class_report(df: DataFrame, alias: str, label: str = "label") -> DataFrame:
@@ -21,7 +20,7 @@ def class_report(df: DataFrame, alias: str, label: str = "label") -> DataFrame:
 
 def null_fraction(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """One row with the null share of every column, from one pass."""
-    return df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in cols or df.columns])
+    return df.agg(*[F.avg(present(df, c).isNull().cast("int")).alias(c) for c in cols or df.columns])
 
 
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
@@ -36,92 +35,79 @@ def text_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
             and f.name not in exclude]
 
 
-def _value(df: DataFrame, c: str) -> Column:
-    # NaN counts as missing
+def present(df: DataFrame, c: str) -> Column:
+    """The column's value; NaN counts as missing."""
+    value = F.col(f"`{c}`")
     if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(c), F.col(c))
-    return F.col(c)
+        return F.when(~F.isnan(value), value)
+    return value
 
 
-def column_medians(df: DataFrame, cols: list[str], small_cells: int = SMALL_MEDIAN_CELLS) -> dict:
+def column_medians(df: DataFrame, cols: list[str]) -> dict:
     """Exact medians of many columns at once, missing values ignored, midpoint between two.
 
-    Small inputs use the built-in exact percentile. That aggregate keeps every distinct value of a
-    column in one task, so larger inputs narrow a value range around the middle instead:
-    approximate quantiles give a range, one pass counts the rows below and inside it, and so on
-    until the range holds few values.
+    All columns share one search over a long table (column, value), summed up inside the tasks
+    first. A round counts what lies below and inside each column's value range and sketches a
+    narrower range around its middle ranks, until a range holds few distinct values; those are
+    counted exactly. Work and task size grow with the columns, not with a column's distinct values.
     """
     if not cols:
         return {}
-    values = df.select(*[_value(df, c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    names = values.columns
-    first = values.agg(*[
-        e for c in names for e in (
-            F.count(c).alias(f"{c}_n"),
-            F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"),
-            F.percentile_approx(c, [0.4995, 0.5005], 10_000).alias(f"{c}_q"))
-    ]).first()
-    total = sum(first[f"{c}_n"] for c in names)
-    result: dict = {c: None for c in names if first[f"{c}_n"] == 0}
-    live = [c for c in names if c not in result]
-    if total <= small_cells:
-        if live:
-            row = values.agg(*[F.percentile(c, 0.5).alias(c) for c in live]).first()
-            result.update(row.asDict())
-        return {cols[i]: result[f"c{i}"] for i in range(len(cols))}
-
-    # one search per wanted rank: the two middle ranks, which are equal if the count is odd
-    found: dict[tuple, float] = {}
-    outer, tries = {}, {}
-    for c in live:
-        for rank in {(first[f"{c}_n"] + 1) // 2, first[f"{c}_n"] // 2 + 1}:
-            outer[(c, rank)] = (first[f"{c}_min"], first[f"{c}_max"])
-            tries[(c, rank)] = tuple(first[f"{c}_q"])
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), present(df, c).cast("double").alias("v")) for i, c in enumerate(cols)])
+    values = df.select(F.explode(pairs).alias("p")).select("p.c", "p.v").where("v IS NOT NULL")
+    near = [g / GRID for g in range(GRID + 1)]
+    wide = {r["c"]: r for r in values.groupBy("c").agg(
+        F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()}
+    ranks = {c: ((r["n"] + 1) // 2, r["n"] // 2 + 1) for c, r in wide.items()}
+    tries = {c: (r["low"], r["high"]) for c, r in wide.items()}
+    found: dict[int, tuple[float, float]] = {}
+    few: dict[int, tuple[float, float]] = {}
     while tries:
-        searches = list(tries)
-        row = values.agg(*[e for i, s in enumerate(searches) for e in _range_counts(i, s[0], *tries[s])]).first()
-        read_out = []
-        for i, s in enumerate(searches):
-            low, high = tries.pop(s)
-            r = s[1] - row[f"below{i}"]
-            inside = row[f"inside{i}"]
-            if not 0 < r <= inside:                          # the guess missed the rank
-                tries[s] = outer[s]
-            elif r <= row[f"low{i}"]:
-                found[s] = low
-            elif r > inside - row[f"high{i}"]:
-                found[s] = high
-            elif inside <= READ_OUT_VALUES:
-                read_out.append((s, low, high, r))
-            else:                                            # both ends are ruled out, so it shrinks
-                outer[s] = (row[f"inner_low{i}"], row[f"inner_high{i}"])
-                near = row[f"grid{i}"]
-                at = int(r / inside * GRID)
-                tries[s] = (max(near[max(at - 1, 0)], outer[s][0]), min(near[min(at + 2, GRID)], outer[s][1]))
-        if read_out:
-            lists = values.agg(*[
-                F.array_sort(F.collect_list(F.when(F.col(s[0]).between(lo, hi), F.col(s[0])))).alias(f"l{i}")
-                for i, (s, lo, hi, _) in enumerate(read_out)]).first()
-            found.update({s: lists[f"l{i}"][r - 1] for i, (s, _, _, r) in enumerate(read_out)})
-    for c in live:
-        n = first[f"{c}_n"]
-        result[c] = (found[(c, (n + 1) // 2)] + found[(c, n // 2 + 1)]) / 2
-    return {cols[i]: result[f"c{i}"] for i in range(len(cols))}
-
-
-GRID = 200   # quantile grid inside a range; each pass narrows a range about a hundredfold
-
-
-def _range_counts(i: int, c: str, low: float, high: float) -> list[Column]:
-    v = F.col(c)
-    inside = v.between(low, high)
-    inner = F.when((v > low) & (v < high), v)
-    return [
-        F.count_if(v < low).alias(f"below{i}"), F.count_if(inside).alias(f"inside{i}"),
-        F.count_if(v == low).alias(f"low{i}"), F.count_if(v == high).alias(f"high{i}"),
-        F.min(inner).alias(f"inner_low{i}"), F.max(inner).alias(f"inner_high{i}"),
-        F.percentile_approx(F.when(inside, v), [g / GRID for g in range(GRID + 1)], 1_000).alias(f"grid{i}"),
-    ]
+        bounds = df.sparkSession.createDataFrame([(c, *r) for c, r in tries.items()], "c int, low double, high double")
+        inside = F.when(F.col("v").between(F.col("low"), F.col("high")), F.col("v"))
+        inner = F.when((F.col("v") > F.col("low")) & (F.col("v") < F.col("high")), F.col("v"))
+        rows = values.join(F.broadcast(bounds), "c").groupBy("c").agg(     # one row a column
+            F.count_if(F.col("v") < F.col("low")).alias("below"), F.count(inside).alias("inside"),
+            F.count_if(F.col("v") == F.col("low")).alias("at_low"), F.count_if(F.col("v") == F.col("high")).alias("at_high"),
+            F.approx_count_distinct(inside).alias("distinct"), F.min(inner).alias("first"), F.max(inner).alias("last"),
+            F.percentile_approx(inside, near, 1_000).alias("grid")).collect()
+        for r in rows:
+            c, (low, high) = r["c"], tries.pop(r["c"])
+            one, two = (k - r["below"] for k in ranks[c])
+            if two <= r["at_low"]:
+                found[c] = (low, low)
+            elif one > r["inside"] - r["at_high"]:
+                found[c] = (high, high)
+            elif r["distinct"] <= READ_OUT_VALUES:
+                few[c] = (low, high)
+            elif one <= r["at_low"]:
+                found[c] = (low, r["first"] if two <= r["inside"] - r["at_high"] else high)
+            elif two > r["inside"] - r["at_high"]:
+                found[c] = (r["last"], high)
+            else:
+                grid, at, end = r["grid"], int(one / r["inside"] * GRID), int(two / r["inside"] * GRID)
+                tries[c] = (max(grid[max(at - 2, 0)], r["first"]), min(grid[min(end + 3, GRID)], r["last"]))
+    if few:
+        found.update(_counted_ranks(values, few, ranks))
+    return {c: None if i not in found else sum(found[i]) / 2 for i, c in enumerate(cols)}
+
+
+GRID = 200   # quantile grid inside a range; each pass narrows a range about fortyfold
+
+
+def _counted_ranks(values: DataFrame, ranges: dict, ranks: dict) -> dict[int, tuple[float, float]]:
+    """Both middle values of columns whose ranges hold few distinct values."""
+    wanted = values.sparkSession.createDataFrame(
+        [(c, *r, *ranks[c]) for c, r in ranges.items()], "c int, low double, high double, one long, two long")
+    joined = values.join(F.broadcast(wanted), "c")
+    below = joined.groupBy("c").agg(F.count_if(F.col("v") < F.col("low")).alias("below"))
+    counts = (joined.where("v BETWEEN low AND high").groupBy("c", "v", "one", "two").agg(F.count("*").alias("n"))
+              .join(F.broadcast(below), "c"))
+    upto = F.col("below") + F.sum("n").over(Window.partitionBy("c").orderBy("v"))
+    rows = counts.withColumn("upto", upto).groupBy("c").agg(
+        F.min(F.when(F.col("upto") >= F.col("one"), F.col("v"))).alias("a"),
+        F.min(F.when(F.col("upto") >= F.col("two"), F.col("v"))).alias("b")).collect()
+    return {r["c"]: (r["a"], r["b"]) for r in rows}
 
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:

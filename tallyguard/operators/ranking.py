@@ -13,7 +13,7 @@ import os.path
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyguard.session import stored
@@ -33,7 +33,9 @@ def rank_key(*keys: str | Column, seed: int | str = DEFAULT_SEED) -> Column:
 
 
 def _content_hash(df: DataFrame, seed: int | str) -> Column:
-    return _hex16(F.xxhash64(F.lit(str(seed)), *[F.col(f"`{c}`") for c in df.columns]))
+    # a null is marked by its place, as the hash itself skips it
+    marks = F.concat(F.lit(str(seed)), *[F.col(f"`{c}`").isNull().cast("int").cast("string") for c in df.columns])
+    return _hex16(F.xxhash64(marks, *[F.col(f"`{c}`") for c in df.columns]))
 
 
 def _hex16(c: Column) -> Column:
@@ -43,18 +45,24 @@ def _hex16(c: Column) -> Column:
 def with_row_key(df: DataFrame, seed: int | str = DEFAULT_SEED) -> DataFrame:
     """Give a table without a natural key a stored unique ``_row_key``.
 
-    The key is the content hash followed by a row id, so identical rows are neighbours in rank
-    order and the picked rows do not depend on how the input was partitioned.
+    The key is the content hash followed by a number among identical rows, so the same rows have the
+    same keys in whatever files and partitions they come. Identical rows are numbered inside the
+    partitions of a stored table and the partitions' counts added up; only they are shuffled.
     """
-    row_id = _hex16(F.monotonically_increasing_id())
-    return stored(df.withColumn(ROW_KEY, F.concat(_content_hash(df, seed), row_id)), "row-key")
-
-
-def with_file_row_key(scan: DataFrame, seed: int | str = DEFAULT_SEED) -> DataFrame:
-    """``with_row_key`` for a plain Parquet scan: the row's place in its file is the row id, so
-    nothing has to be stored."""
-    place = F.md5(F.concat_ws("|", "_metadata.file_path", F.col("_metadata.row_index").cast("string")))
-    return scan.withColumn(ROW_KEY, F.concat(_content_hash(scan, seed), place))
+    hashed = stored(df.withColumn("_hash", _content_hash(df, seed)).withColumn(
+        "_place", F.monotonically_increasing_id()), "row-key")
+    block = F.shiftright("_place", 33)
+    sizes = hashed.groupBy("_hash", block.alias("_block")).agg(F.count("*").alias("n"))
+    several = sizes.groupBy("_hash").agg(F.sum("n").alias("all")).where("all > 1").select("_hash")
+    before = sizes.join(several, "_hash", "left_semi").withColumn(
+        "_before", F.sum("n").over(Window.partitionBy("_hash").orderBy("_block")) - F.col("n"))
+    inside = F.row_number().over(Window.partitionBy("_hash", "_block").orderBy("_place")) - 1
+    copies = (hashed.select("_hash", "_place").join(several, "_hash", "left_semi").withColumn("_block", block)
+              .withColumn("_inside", inside).join(before, ["_hash", "_block"])
+              .select("_place", (F.col("_before") + F.col("_inside")).alias("_number")))
+    numbered = hashed.join(copies, "_place", "left")
+    return stored(numbered.withColumn(ROW_KEY, F.concat("_hash", _hex16(F.coalesce("_number", F.lit(0)))))
+                  .select(*[F.col(f"`{c}`") for c in df.columns], ROW_KEY), "row-key")
 
 
 def class_cutoffs(

@@ -55,7 +55,7 @@ def cap_sizes(n_fraud: int, n_legit: int, max_rows: int) -> tuple[int, int]:
     return min(keep_fraud, n_fraud), min(max_rows - keep_fraud, n_legit)
 
 
-def stratified_cap(df: DataFrame, key: Column, max_rows: int | None = 15_000,
+def stratified_cap(df: DataFrame, key: Column, max_rows: int | None = None,
                    label: str = "label") -> DataFrame:
     """At most ``max_rows`` rows at the original class share; smaller inputs pass unchanged."""
     if not max_rows:
@@ -78,7 +78,7 @@ def balanced_sizes(n_fraud: int, n_legit: int, max_samples: int) -> tuple[int, i
 
 
 def balanced_head_cap(df: DataFrame, line_key: Column, is_fraud: str | Column,
-                      max_samples: int | None = 500) -> DataFrame:
+                      max_samples: int | None = None) -> DataFrame:
     """The first half-cap of fraud rows and the rest of the cap in legit rows, in line order.
 
     ``line_key`` must sort as text in line order (pad numbers with zeros) in hexadecimal digits.

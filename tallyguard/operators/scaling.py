@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyguard.operators.profiling import column_medians, column_modes, value_counts
+from tallyguard.operators.profiling import column_medians, column_modes, present, value_counts
 
 
 def fit_imputer(df: DataFrame, numeric: list[str], text: list[str]) -> dict:
@@ -39,7 +39,7 @@ def impute(df: DataFrame, fills: dict) -> DataFrame:
 
 
 def fit_scaler(df: DataFrame, cols: list[str], fit_on: str = "all") -> dict[str, tuple[float, float]]:
-    """Mean and population standard deviation per column; a zero deviation becomes 1.
+    """Mean and population standard deviation per column, NaN and null left out; a zero deviation becomes 1.
 
     ``fit_on="train"`` uses the rows of the training split only, so nothing leaks from the
     held-out splits; the default uses all rows.
@@ -51,8 +51,8 @@ def fit_scaler(df: DataFrame, cols: list[str], fit_on: str = "all") -> dict[str,
     if fit_on == "train":
         df = df.where(F.col("split") == "train")
     row = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.avg(F.col(c).cast("double")).alias(f"m{i}"),
-        F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}"))]).first()
+        F.avg(present(df, c).cast("double")).alias(f"m{i}"),
+        F.stddev_pop(present(df, c).cast("double")).alias(f"s{i}"))]).first()
     return {c: (row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(cols)}
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tallyguard.functions.draws import draw, draw_unit
 from tallyguard.operators.encoding import ordered_index
 from tallyguard.operators.neighbours import knn_self_join
+from tallyguard.operators.profiling import present
 from tallyguard.operators.sampling import ResamplePlan, random_undersample, resample_plan
 from tallyguard.session import stored
 
@@ -26,12 +27,18 @@ def smote_rows(minority: DataFrame, key: Column, features: list[str], n_new: int
     """``n_new`` synthetic rows between a drawn minority row and one of its k nearest.
 
     Columns: ``_n`` (0-based number), ``_base`` and ``_near`` (rank keys), the features in their
-    own types. Other columns of the base row are kept as they are.
+    own types. Other columns of the base row are kept as they are. A missing feature (null or NaN)
+    has no distance and is an error, as is any other number of rows than asked for.
     """
     spark = minority.sparkSession
+    missing = minority.agg(*[F.count_if(present(minority, c).isNull()).alias(f"c{i}")
+                             for i, c in enumerate(features)]).first() if features else []
+    gaps = [c for c, n in zip(features, missing) if n]
+    if gaps:
+        raise ValueError(f"missing values in minority features {gaps}; impute them first")
     types = {f.name: f.dataType for f in minority.schema}
     others = [c for c in minority.columns if c not in features]
-    vec = F.array(*[F.col(c).cast("double") for c in features])
+    vec = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
     ranked = ordered_index(
         minority.select(key.alias("_rank_key"), vec.alias("_vec"),
                         F.struct(*others).alias("_others") if others else F.lit(0).alias("_others")),
@@ -59,9 +66,12 @@ def smote_rows(minority: DataFrame, key: Column, features: list[str], n_new: int
         return _back_to_type(x + F.col("_u") * (y - x), types[c]).alias(c)
 
     made = {c: value(i, c) for i, c in enumerate(features)}
-    made.update({c: F.col(f"_others.{c}").alias(c) for c in others})
-    return with_near.select("_n", F.col("_rank_key").alias("_base"), "_near",
-                            *[made[c] for c in minority.columns])
+    made.update({c: F.col(f"_others.`{c}`").alias(c) for c in others})
+    rows = stored(with_near.select("_n", F.col("_rank_key").alias("_base"), "_near",
+                                   *[made[c] for c in minority.columns]), "smote-rows")
+    if rows.count() != n_new:
+        raise RuntimeError(f"{n_new} synthetic rows asked for, {rows.count()} made")
+    return rows
 
 
 def feature_columns(df: DataFrame, exclude: tuple[str, ...]) -> list[str]:

@@ -27,11 +27,16 @@ def parsed_responses(df: DataFrame, response: str = "response") -> DataFrame:
         "unparsed": F.col("verdict").isNull().cast("int")})
 
 
-def score_examples(chat: DataFrame, scorer_factory, max_samples: int | None = 500,
+def score_examples(chat: DataFrame, scorer_factory, max_samples: int | None = None,
                    line: Column | None = None) -> DataFrame:
-    """Run the scorer over chat examples: dataset, y_true, response and the parsed columns."""
+    """Run the scorer over chat examples: dataset, y_true, response and the parsed columns.
+
+    All examples are scored unless ``max_samples`` asks for the balanced head in ``line`` order.
+    """
     meta = P.metadata_or_default("metadata")
-    if max_samples and line is not None:
+    if max_samples:
+        if line is None:
+            raise ValueError("max_samples needs the line order")
         chat = balanced_head_cap(chat, line, F.col("metadata.is_fraud"), max_samples)
     asked = chat.select(
         meta["dataset"].alias("dataset"), meta["is_fraud"].alias("y_true"),

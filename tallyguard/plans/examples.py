@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from tallyguard.fixed_values import DATASETS, TRAIN_SYSTEM_PROMPT
 from tallyguard.functions import prompts as P
-from tallyguard.operators.ranking import ROW_KEY, rank_key, with_file_row_key
+from tallyguard.operators.ranking import ROW_KEY, rank_key, with_row_key
 from tallyguard.operators.sampling import stratified_cap
 from tallyguard.sources.files import dataset_path, parquet_scan, path_exists
 from tallyguard.sources.sinks import write_jsonl
 
-MAX_ROWS_PER_DATASET = 15_000     # fixed value: cap per data set and split
 SPLITS = ("train", "val", "test")
 
 
@@ -39,13 +38,16 @@ def row_to_example(df: DataFrame, alias: str, split: str | Column, key: Column,
 
 
 def build_examples(spark: SparkSession, processed_dir: str, alias: str, split: str,
-                   max_rows: int | None = MAX_ROWS_PER_DATASET, seed: int | str = 42) -> DataFrame | None:
-    """Examples of one processed data set and split, capped at the class share."""
+                   max_rows: int | None = None, seed: int | str = 42) -> DataFrame | None:
+    """Examples of one processed data set and split.
+
+    ``max_rows`` bounds the training rows at the class share; validation and test are never cut.
+    """
     if not path_exists(spark, dataset_path(processed_dir, alias)):
         print(f"[skip] {alias}/{split}: not found")
         return None
-    rows = with_file_row_key(parquet_scan(spark, processed_dir, alias, split), seed).drop("split")
-    capped = stratified_cap(rows, F.col(ROW_KEY), max_rows)
+    rows = with_row_key(parquet_scan(spark, processed_dir, alias, split).drop("split"), seed)
+    capped = stratified_cap(rows, F.col(ROW_KEY), max_rows if split == "train" else None)
     return row_to_example(capped, alias, split, F.col(ROW_KEY), seed=seed)
 
 
@@ -55,7 +57,7 @@ def combine_datasets(parts: list[DataFrame]) -> DataFrame:
 
 
 def build_and_save(spark: SparkSession, processed_dir: str, out_dir: str, output_format: str = "chat",
-                   max_rows: int | None = MAX_ROWS_PER_DATASET, seed: int | str = 42,
+                   max_rows: int | None = None, seed: int | str = 42,
                    datasets: list[str] = DATASETS) -> None:
     """Shuffled JSONL of all data sets, one folder per split."""
     if output_format not in P.FORMATS:

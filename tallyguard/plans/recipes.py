@@ -21,13 +21,10 @@ from tallyguard.operators.smote import resample
 from tallyguard.session import stored
 from tallyguard.sources import schemas
 from tallyguard.sources.files import csv_scan, csv_scan_named, optional_csv, path_exists
-from tallyguard.fixed_values import EXPECTED_FILES
+from tallyguard.fixed_values import AML_ENCODED, EXPECTED_FILES, PAYSIM_DROPPED
 
-AML_ENCODED = ["payment_currency", "receiving_currency", "payment_format", "account", "account.1"]
+NO_TIME = -1      # time features of a row whose time cannot be read; distances need a number
 DOT = "_dot_"     # stands for a dot in column names, which would read as struct access
-PAYSIM_DROPPED = ["nameOrig", "nameDest", "isFlaggedFraud", "oldbalanceOrg", "newbalanceOrig",
-                  "oldbalanceDest", "newbalanceDest"]
-PAYSIM_SAMPLE = 0.10
 
 
 def _with_key(df: DataFrame, key: str | Column | None) -> DataFrame:
@@ -62,8 +59,8 @@ def features_ieee_cis(txn: DataFrame, identity: DataFrame | None = None) -> Data
 
 
 def features_paysim(raw: DataFrame, key: str | Column | None = None,
-                    fraction: float | None = PAYSIM_SAMPLE) -> DataFrame:
-    """Balance features, one-hot type, drop leaky columns, scale, exact sample."""
+                    fraction: float | None = None) -> DataFrame:
+    """Balance features, one-hot type, drop leaky columns, scale; an exact sample only where asked for."""
     df = cleaning.balance_features(_with_key(raw, key))
     df = encoding.one_hot(df, "type", prefix="type")
     df = cleaning.drop_columns(df, PAYSIM_DROPPED)
@@ -73,12 +70,13 @@ def features_paysim(raw: DataFrame, key: str | Column | None = None,
 
 
 def features_ibm_aml(raw: DataFrame, key: str | Column | None = None,
-                     ts_format: str | None = None) -> DataFrame:
+                     ts_format: str | tuple[str, ...] | None = None) -> DataFrame:
     """Snake case, time features, running count per account, encode, scale the amount."""
     df = cleaning.snake_case_columns(_with_key(raw, key))
     df = df.toDF(*[c.replace(".", DOT) for c in df.columns])
     df = df.withColumn("timestamp", parse_ts_or_null("timestamp", ts_format))
-    df = timewise.time_features(df, "timestamp")
+    times = ["hour_of_day", "day_of_week", "day_of_month"]
+    df = timewise.time_features(df, "timestamp").fillna(NO_TIME, times)
     df = timewise.running_txn_count(df, "account", "timestamp", F.col(ROW_KEY))
     df = stored(df, "aml-velocity")             # the count shuffles all rows; fit passes reuse it
     encoded = [c.replace(".", DOT) for c in AML_ENCODED]
@@ -128,9 +126,17 @@ def prepare(features: DataFrame, weights: bool = False) -> Prepared:
     train = train.withColumn("split", F.lit("train"))
     rows = train.unionByName(held_out).drop(ROW_KEY)
     order = [c for c in rows.columns if c not in ("label", "split")]
-    rows = rows.select(*[F.col(c).alias(c.replace(DOT, ".")) for c in order],
+    rows = rows.select(*[F.col(f"`{c}`").alias(c.replace(DOT, ".")) for c in order],
                        F.col("label").cast("int").alias("label"), "split")
-    return Prepared(rows, plan, profiling.balanced_class_weights(train) if weights else None)
+    return Prepared(rows, plan, plan_weights(features.sparkSession, plan) if weights else None)
+
+
+def plan_weights(spark: SparkSession, plan: ResamplePlan) -> DataFrame:
+    """Balanced class weights of the resampled training split, from the plan's row numbers."""
+    rows = {0: plan.keep_majority, 1: plan.n_minority + plan.n_synthetic}
+    rows = {c: n for c, n in rows.items() if n}
+    return spark.createDataFrame([(c, sum(rows.values()) / (len(rows) * n)) for c, n in rows.items()],
+                                 "label int, weight double")
 
 
 def _ccf(spark: SparkSession, d: str) -> DataFrame | None:

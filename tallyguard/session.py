@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -28,14 +31,31 @@ def build_session(app: str = "tallyguard", master: str | None = None, **conf) ->
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder, or a private one where none is configured."""
+    """This application's folder below the shared checkpoint folder.
+
+    The folder is the one in ``spark.checkpoint.dir`` or given to ``setCheckpointDir``. Only a session
+    whose executors are this very process may do without; its private folder goes when Python ends.
+    """
+    context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        given = context._jsc.sc().getCheckpointDir()
+        shared = given.get() if given.isDefined() else None
     if shared:
-        return shared
-    app_id = spark.sparkContext.applicationId
-    if app_id not in _OWN_SCRATCH:
-        _OWN_SCRATCH[app_id] = tempfile.mkdtemp(prefix="tallyguard-")
-    return _OWN_SCRATCH[app_id]
+        return f"{shared.rstrip('/')}/tallyguard-{context.applicationId}"
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _OWN_SCRATCH:
+        own = tempfile.mkdtemp(prefix="tallyguard-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _OWN_SCRATCH[context.applicationId] = own
+    return _OWN_SCRATCH[context.applicationId]
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; frames that still read them are void then."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -8,16 +8,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyguard.fixed_values import EXPECTED_FILES
+from tallyguard.fixed_values import EXPECTED_FILES, MISSING_TEXTS
 from tallyguard.sources.schemas import CHAT
 
 
+def without_missing_texts(df: DataFrame) -> DataFrame:
+    """Text columns with null for each of MISSING_TEXTS."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")) for c in texts})
+
+
 def csv_scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header row. Without a schema the types are inferred, at the price of a pass."""
+    """CSV with a header row; MISSING_TEXTS and unreadable numbers are null.
+
+    Without a schema one pass finds the type of every column: whole numbers, numbers or text.
+    """
     reader = spark.read.option("header", True)
     if schema is not None:
-        return reader.option("enforceSchema", True).schema(schema).csv(path)
-    return reader.option("inferSchema", True).csv(path)
+        return without_missing_texts(reader.option("enforceSchema", True).schema(schema).csv(path))
+    raw = without_missing_texts(reader.csv(path))
+    found = raw.agg(*[F.count_if(F.col(f"`{c}`").isNotNull() & F.expr(f"try_cast(`{c}` AS {t})").isNull()).alias(f"{t}{i}")
+                      for i, c in enumerate(raw.columns) for t in ("bigint", "double")]).first() if raw.columns else {}
+
+    def kind(i: int) -> str:
+        return next((t for t in ("bigint", "double") if not found[f"{t}{i}"]), "string")
+
+    return raw.select(*[F.col(f"`{c}`").cast(kind(i)).alias(c) for i, c in enumerate(raw.columns)])
 
 
 def header_names(spark: SparkSession, path: str) -> list[str]:

@@ -26,9 +26,12 @@ def save_splits(df: DataFrame, out_dir: str, alias: str, label: str = "label") -
 def write_jsonl(examples: DataFrame, path: str, order: Column | None = None) -> None:
     """Write examples as JSONL, one folder per ``split`` if there is such a column.
 
-    ``order`` shuffles: the files in name order hold the examples in that order. Nulls are kept.
+    ``order`` shuffles: in every folder the files in name order hold the examples in that order.
+    Nulls are kept.
     """
-    out = examples if order is None else examples.orderBy(order)
+    # the writer of split folders keeps an order only if it begins with the split
+    ahead = ["split"] if "split" in examples.columns else []
+    out = examples if order is None else examples.orderBy(*ahead, order)
     writer = out.write.mode("overwrite").option("ignoreNullFields", False)
     if "split" in out.columns:
         writer = writer.partitionBy("split")

@@ -31,7 +31,7 @@ def raw_dir(tmp_path_factory):
     write_csv(d / EXPECTED_FILES["ibm_aml"][0],
               ["Timestamp", "From Bank", "Account", "To Bank", "Account", "Amount Received", "Receiving Currency",
                "Amount Paid", "Payment Currency", "Payment Format", "Is Laundering"],
-              [["bad" if i % 50 == 3 else f"2022-09-0{1 + i % 9} 0{i % 10}:15:00", 1, f"A{i % 12}", 2, f"B{i % 30}",
+              [["bad" if i % 50 in (0, 3) else f"2022/09/0{1 + i % 9} 0{i % 10}:15", 1, f"A{i % 12}", 2, f"B{i % 30}",
                 10 + i, "Euro", round(rnd.uniform(1, 900), 2), rnd.choice(["Euro", "Yen"]), "Wire", fraud[i]]
                for i in range(ROWS)])
     write_csv(d / EXPECTED_FILES["banksim"][0],
@@ -40,8 +40,8 @@ def raw_dir(tmp_path_factory):
                 f"'es_{i % 4}'", round(rnd.uniform(1, 300), 2), fraud[i]] for i in range(ROWS)])
     write_csv(d / EXPECTED_FILES["ieee_cis"][0],
               ["TransactionID", "isFraud", "TransactionAmt", "card4", "C1", "sparse"],
-              [[1000 + i, fraud[i], round(rnd.uniform(1, 99), 2), None if i % 7 == 0 else f"v{i % 3}",
-                None if i % 6 == 0 else i, 5 if i % 4 == 0 else None] for i in range(ROWS)])
+              [[1000 + i, fraud[i], round(rnd.uniform(1, 99), 2), "NA" if i % 7 == 0 else f"v{i % 3}",
+                "N/A" if i % 6 == 0 else i, 5 if i % 4 == 0 else None] for i in range(ROWS)])
     return str(d)
 
 
@@ -67,6 +67,10 @@ def test_processed_columns(spark, processed):
     aml = files.parquet_scan(spark, processed[0], "ibm_aml", "test")
     assert {"account", "account.1", "hour_of_day", "txn_count_24h", "amount_paid", "label"} <= set(aml.columns)
     assert "timestamp" not in aml.columns
+    whole = files.parquet_scan(spark, processed[0], "ibm_aml")
+    assert whole.where("hour_of_day = -1").count() > 0 and whole.where("hour_of_day >= 0").count() > 120
+    assert whole.where("hour_of_day is null or txn_count_24h is null").count() == 0
+    assert whole.agg(F.max("txn_count_24h")).first()[0] > 10
     ieee = files.parquet_scan(spark, processed[0], "ieee_cis")
     assert set(ieee.columns) == {"TransactionAmt", "card4", "C1", "label", "split"}
     assert ieee.where("card4 is null or C1 is null").count() == 0
@@ -106,6 +110,22 @@ def test_examples_and_evaluation(spark, processed, tmp_path, output_format):
     assert spark.read.json(path).first()["confusion_matrix"] == [[0, 114], [0, 6]]
 
 
+def test_answers_do_not_depend_on_files(spark, processed, tmp_path):
+    """The same rows written in other files and partitions give the same examples, copies included."""
+    rows = files.parquet_scan(spark, processed[0], "banksim").drop("dataset")
+    twice = rows.union(rows.where("label = 1"))
+    for name, parts in (("one", 1), ("many", 7)):
+        sinks.save_splits(twice.repartition(parts), str(tmp_path / name), "banksim")
+    first, second = (sorted(tuple(r) for r in examples.build_examples(spark, str(tmp_path / n), "banksim", "train").select(
+        "user", "assistant", "_key").collect()) for n in ("one", "many"))
+    assert first == second and len({r[2] for r in first}) == len(first)
+
+
+def test_head_cap_needs_an_order(spark):
+    with pytest.raises(ValueError, match="line"):
+        score_examples(spark.range(1), rule_scorer("x"), 5)
+
+
 def test_unknown_format(spark, tmp_path):
     with pytest.raises(ValueError, match="output_format"):
         examples.build_and_save(spark, str(tmp_path), str(tmp_path), "xml")

@@ -10,15 +10,15 @@ from tallyguard.operators import cleaning, encoding, profiling, scaling, timewis
 from tallyguard.operators.ranking import rank_key
 
 
-@pytest.mark.parametrize("cells", [10**9, 0])
-def test_medians(spark, cells, monkeypatch):
-    """Even and odd counts, missing values, a hot value, one value, no value."""
-    monkeypatch.setattr(profiling, "READ_OUT_VALUES", 20)
+@pytest.mark.parametrize("few", [10_000, 20, 1])
+def test_medians(spark, few, monkeypatch):
+    """Even and odd counts, missing values, a hot value, one value, no value; one and many rounds."""
+    monkeypatch.setattr(profiling, "READ_OUT_VALUES", few)
     nan = float("nan")
     rows = [(float(i * i % 1_009), 5.0 if i % 3 else float(i), None if i % 2 else float(i), i % 4, None,
              nan if i % 5 == 0 else 1.0 * (i % 97)) for i in range(3_000)]
     df = spark.createDataFrame(rows, "a double, b double, c double, d int, e double, f double")
-    got = profiling.column_medians(df, ["a", "b", "c", "d", "e", "f"], small_cells=cells)
+    got = profiling.column_medians(df, ["a", "b", "c", "d", "e", "f"])
     for i, c in enumerate("abcdef"):
         values = [r[i] for r in rows if r[i] is not None and r[i] == r[i]]
         assert got[c] == (statistics.median(values) if values else None), c
@@ -56,10 +56,9 @@ def test_high_null_threshold_is_strict(spark):
     assert cleaning.drop_high_null(df).columns == ["a", "half"]
 
 
-@pytest.mark.parametrize("window_values, broadcast", [(10**6, 10**6), (0, 0)])
-def test_label_encode(spark, monkeypatch, window_values, broadcast):
-    """Small dictionaries and the range-sorted path give the same codes; null counts as text."""
-    monkeypatch.setattr(encoding, "WINDOW_VALUES", window_values)
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_label_encode(spark, monkeypatch, broadcast):
+    """Broadcast and shuffled dictionaries give the same codes; null counts as text."""
     monkeypatch.setattr(encoding, "BROADCAST_VALUES", broadcast)
     words = ["B", "a", "b", "é", None, "z"]
     df = spark.createDataFrame([(i, words[i % 6], f"c{i % 40}") for i in range(240)], "i int, w string, u string")
@@ -131,3 +130,17 @@ def test_time_features_of_bad_text(spark):
         "ts", C.parse_ts_or_null("t"))
     rows = [tuple(r) for r in timewise.time_features(df, "ts").select("hour_of_day", "day_of_week", "day_of_month").collect()]
     assert rows == [(13, 0, 1), (None, None, None)]
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 1), (nan, 2), (None, None), (3.0, 4)], "x double, i int")
+    assert tuple(profiling.null_fraction(df).first()) == (0.5, 0.25)
+    assert scaling.fit_scaler(df, ["x"]) == {"x": (2.0, 1.0)}
+
+
+def test_times_of_several_forms(spark):
+    texts = ["2022/09/01 00:20", "2022/09/01 00:20:05", "2022/09/01", "2022-09-01 00:20:00", "bad", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [str(r[0]) for r in df.orderBy("i").select(C.parse_ts_or_null("t")).collect()]
+    assert got == ["2022-09-01 00:20:00", "2022-09-01 00:20:05", "2022-09-01 00:00:00", "2022-09-01 00:20:00", "None", "None"]

@@ -19,7 +19,7 @@ def brute_force(keys, x, k):
     return out
 
 
-@pytest.mark.parametrize("sizes", [{}, {"points_per_pivot": 40, "query_block": 16, "search_block": 32}])
+@pytest.mark.parametrize("sizes", [{}, {"pivot_share": 0.4, "query_block": 16, "search_block": 32}, {"pivot_share": 0}])
 @pytest.mark.parametrize("dims, copies", [(2, 0), (3, 90), (20, 0)])
 def test_knn_is_exact(spark, sizes, dims, copies):
     """One cell and many, small blocks, and a third of the points being copies of one point."""
@@ -62,6 +62,14 @@ def test_too_few_minority_rows(spark):
         smote_rows(df, rank_key("id"), ["a"], 3)
 
 
+@pytest.mark.parametrize("gap", [None, float("nan")])
+def test_missing_features_are_an_error(spark, gap):
+    rows = [(i, float(i), None if i == 3 and gap is None else gap if i == 3 else 1.0) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    with pytest.raises(ValueError, match="b"):
+        smote_rows(df, rank_key("id"), ["a", "b"], 10)
+
+
 def test_resample_reaches_the_targets(spark):
     df = spark.range(1_060).select(rank_key("id").alias("k"), (F.col("id") * 1.0).alias("a"),
                                    (F.col("id") < 60).cast("int").alias("label"))
