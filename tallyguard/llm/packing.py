@@ -21,6 +21,7 @@ END_ID = 2
 ROUNDS = 12
 RATE = 1e-2
 SLACK = 1e-3
+ROUNDING = (1.0, 0.9, 0.75, 0.5, 0.25)
 SHARE = 0.1
 BUCKETS = 256
 TOKEN_SLICE = 1 << 21
@@ -139,16 +140,20 @@ def best_fit(counts: np.ndarray, plan: Plan) -> Plan:
 
 
 def integral_plan(counts: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> Plan:
-    """Whole sequences: the fractional plan rounded down within what is left, the rest by best fit."""
-    left = counts.astype(np.int64).copy()
-    plan: Plan = []
-    for config, x in sorted(fractional_plan(counts, rounds, rate), key=lambda c: -c[1]):
-        use = min(int(x), *(int(left[k]) // a for k, a in config.items()))
-        if use:
-            plan.append((config, use))
-            for k, a in config.items():
-                left[k] -= a * use
-    return best_fit(left, plan)
+    """Whole sequences: parts of the fractional plan rounded down, the rest by best fit; the shortest outcome."""
+    columns = sorted(fractional_plan(counts, rounds, rate), key=lambda c: -c[1])
+    outcomes = []
+    for part in ROUNDING:
+        left = counts.astype(np.int64).copy()
+        plan: Plan = []
+        for config, x in columns:
+            use = min(int(x * part), *(int(left[k]) // a for k, a in config.items()))
+            if use:
+                plan.append((config, use))
+                for k, a in config.items():
+                    left[k] -= a * use
+        outcomes.append(best_fit(left, plan))
+    return min(outcomes, key=lambda plan: sum(n for _, n in plan))
 
 
 def _slots(plan: Plan) -> np.ndarray:
