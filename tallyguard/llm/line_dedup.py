@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tallyguard.catalog.registry import table
 from tallyguard.llm.setjoin import (
-    PART, ROW, candidate_sets, line_parts, possible, rarity_levels, scan_parts, shared_prefixes, similar_pairs)
+    PART, ROW, candidate_sets, line_parts, possible, rarity_levels, scan_parts, shared_prefixes, similar_pairs,
+    sketched)
 from tallyguard.session import stored
 
 LEAST_WORDS = 5
@@ -21,22 +22,26 @@ SIMILARITY = 0.75
 def later_matches(shared: DataFrame, sets: DataFrame, places: DataFrame, t: float) -> DataFrame:
     """(sig) of the line sets that are similar to a set with an earlier first line.
 
-    Every key's rows are first compared with its earliest row; lines that this settles are compared
-    no further, as one earlier match is enough. The others meet all earlier rows of their keys.
+    Every key's rows are first compared with its earliest row, then with two others picked by hash;
+    lines that this settles are compared no further, as one earlier match is enough. Those still
+    open meet all earlier rows of their keys, so none is missed.
     """
-    rows = stored(shared.join(places, "sig"), "placed")
-    first = rows.groupBy("key").agg(F.min_by(F.struct("sig", "place", "n", "pos", "parity"),
-                                             F.struct("place", "sig")).alias("x"))
-    first = first.select("key", "x.*").alias("l")
-    earlier = "(l.place < r.place OR l.place = r.place AND l.sig < r.sig)"
-    pair = (F.col("l.sig").alias("a"), F.col("r.sig").alias("b"))
-    tried = stored(first.join(rows.alias("r"), F.col("l.key") == F.col("r.key")).where(earlier)
-                   .where(possible("l", "r", t)).select(*pair).distinct(), "pairs")
-    settled = stored(similar_pairs(tried, sets, t).select(F.col("b").alias("sig")).distinct(), "settled")
-    open_rows = rows.join(settled, "sig", "left_anti").alias("r")
-    rest = (rows.alias("l").join(open_rows, F.expr(f"l.key = r.key AND {earlier}"))
-            .where(possible("l", "r", t)).select(*pair).distinct().join(tried, ["a", "b"], "left_anti"))
-    return settled.union(similar_pairs(rest, sets, t).select(F.col("b").alias("sig")).distinct())
+    rows = stored(sketched(shared.join(places, "sig"), sets), "placed")
+    row = F.struct(*[c for c in rows.columns if c != "key"])
+    first = rows.groupBy("key").agg(F.array(F.min_by(row, F.struct("place", "sig"))).alias("x"))
+    picked = rows.groupBy("key").agg(F.array(F.min_by(row, F.xxhash64("sig", "key")),
+                                             F.max_by(row, F.xxhash64("sig", "key"))).alias("x"))
+    earlier = "l.key = r.key AND (l.place < r.place OR l.place = r.place AND l.sig < r.sig)"
+    tried = settled = None
+    for left in (first.select("key", F.inline("x")), picked.select("key", F.inline("x")), rows):
+        right = rows if settled is None else rows.join(settled, "sig", "left_anti")
+        pairs = (left.alias("l").join(right.alias("r"), F.expr(earlier)).where(possible("l", "r", t))
+                 .selectExpr("l.sig AS a", "r.sig AS b").distinct())
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = pairs if tried is None else tried.union(pairs)
+        hits = stored(similar_pairs(pairs, sets, t).select(F.col("b").alias("sig")).distinct(), "settled")
+        settled = hits if settled is None else settled.union(hits)
+    return settled.distinct()
 
 
 def line_decisions(docs: DataFrame, t: float = SIMILARITY, least: int = LEAST_WORDS) -> tuple[DataFrame, DataFrame]:

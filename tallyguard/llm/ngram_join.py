@@ -10,37 +10,57 @@ from pyspark.sql import functions as F
 from tallyguard.catalog.registry import table
 from tallyguard.llm.components import components
 from tallyguard.llm.setjoin import (
-    PART, ROW, candidate_sets, possible, rarity_levels, scan_parts, shared_prefixes, shingle_parts, similar_pairs)
+    PART, ROW, candidate_sets, possible, rarity_levels, scan_parts, shared_prefixes, shingle_parts, similar_pairs,
+    sketched)
 from tallyguard.session import stored
 
 WIDTH = 5
 SIMILARITY = 0.75
+FIRST_KEYS, STARS = 12, 1
+PAIR = ("least(l.sig, r.sig) AS a", "greatest(l.sig, r.sig) AS b")
+
+
+def _star(rows: DataFrame, t: float, salt: int, filters: str = "TRUE") -> DataFrame:
+    """(a, b): possible pairs of every row with two rows of its key, picked by a partial aggregation."""
+    part = F.struct(*[c for c in rows.columns if c != "key"])
+    leaders = rows.groupBy("key").agg(F.min_by(part, F.xxhash64("sig", F.lit(salt))).alias("x"),
+                                      F.max_by(part, F.xxhash64("sig", F.lit(salt))).alias("y"))
+    leaders = leaders.where("x.sig <> y.sig").select("key", F.inline(F.array("x", "y"))).alias("l")
+    return (leaders.join(rows.alias("r"), F.col("l.key") == F.col("r.key")).where("l.sig <> r.sig").where(filters)
+            .where(possible("l", "r", t)).selectExpr(*PAIR).distinct())
 
 
 def link_groups(shared: DataFrame, sets: DataFrame, t: float) -> DataFrame:
     """(node, root) of the parts that similar pairs link, without comparing what is already linked.
 
-    First every key's rows are compared with two of them, found by a partial aggregation; the links
-    give components. Then all pairs of a key whose components still differ are compared. So a large
-    group of near copies costs a multiple of its size, and no link between components is missed.
+    First every part's rarest shared elements (FIRST_KEYS of them) compare it with two parts that
+    have the element among theirs; the links give components. STARS more rounds do so for all keys
+    whose components differ, between components only. Then all pairs of a key whose components still
+    differ are compared. So a large group of near copies costs a multiple of its size, and no link
+    between components is missed.
     """
-    leaders = shared.groupBy("key").agg(F.min_by(F.struct("sig", "n", "pos", "parity"), "sig").alias("x"),
-                                        F.max_by(F.struct("sig", "n", "pos", "parity"), "sig").alias("y"))
-    leaders = leaders.where("x.sig <> y.sig").select("key", F.inline(F.array("x", "y"))).alias("l")
-    pair = (F.least("l.sig", "r.sig").alias("a"), F.greatest("l.sig", "r.sig").alias("b"))
-    near = (leaders.join(shared.alias("r"), F.col("l.key") == F.col("r.key"))
-            .where("l.sig <> r.sig").where(possible("l", "r", t)).select(*pair).distinct())
-    tried = stored(near, "pairs")
-    linked = stored(similar_pairs(tried, sets, t), "similar")
-    groups = stored(components(linked), "components")
-    rows = stored(shared.join(groups.withColumnRenamed("node", "sig"), "sig", "left")
-                  .withColumn("root", F.coalesce("root", "sig")), "rooted")
-    split = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    rows = rows.join(split, "key", "left_semi")
-    rest = (rows.alias("l").join(rows.alias("r"), F.expr("l.key = r.key AND l.root < r.root"))
-            .where(possible("l", "r", t)).select(*pair).distinct().join(tried, ["a", "b"], "left_anti"))
-    more = stored(similar_pairs(rest, sets, t), "similar")
-    return components(linked.union(more))
+    shared = stored(sketched(shared, sets), "sketched")
+    row = F.struct("key", *[c for c in shared.columns if c not in ("key", "sig")])
+    rare = (shared.groupBy("sig").agg(F.slice(F.array_sort(F.collect_list(row)), 1, FIRST_KEYS).alias("rows"))
+            .select(F.inline("rows"), "sig"))
+    tried = stored(_star(rare, t, 0), "pairs")
+    links = stored(similar_pairs(tried, sets, t), "similar")
+    groups = stored(components(links), "components")
+    for turn in range(1, STARS + 2):
+        rows = shared.join(groups.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
+            "root", F.coalesce("root", "sig"))
+        split = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+        rows = stored(rows.join(split, "key", "left_semi"), "split")
+        if turn <= STARS:
+            pairs = _star(rows, t, turn, "l.root <> r.root")
+        else:
+            pairs = (rows.alias("l").join(rows.alias("r"), F.expr("l.key = r.key AND l.root < r.root"))
+                     .where(possible("l", "r", t)).selectExpr(*PAIR).distinct())
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.union(pairs)
+        links = links.union(stored(similar_pairs(pairs, sets, t), "similar"))
+        groups = stored(components(links), "components")
+    return groups
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, t: float = SIMILARITY) -> DataFrame:
@@ -58,15 +78,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, t: float = SIMILARITY)
     scanned = scan_parts(texts, cut, distinct=True)
     levels = spark.sparkContext.broadcast(rarity_levels(scanned))
     shared = shared_prefixes(texts, cut, levels, t)
-    groups = stored(link_groups(shared, candidate_sets(texts, cut, levels, shared), t), "groups")
+    groups = link_groups(shared, candidate_sets(texts, cut, levels, shared), t)
     parts = scanned.where(F.col("kind") == PART).select(F.col("id").alias("doc_id"), "sig", "n")
     rooted = parts.join(groups.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
         "root", F.coalesce("root", "sig"))
     several = rooted.groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("c")).where("c > 1")
     full = (rooted.join(several.select("root", "least"), "root", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")))
-    empty = (scanned.where(F.col("kind") == ROW).select(F.col("id").alias("doc_id"))
-             .join(parts.select("doc_id").distinct(), "doc_id", "left_anti"))
+    empty = scanned.where(F.col("kind") == ROW).where("sig = 0").select(F.col("id").alias("doc_id"))
     return full.union(empty.select("doc_id", F.lit(0).cast("long"), "doc_id"))
 
 

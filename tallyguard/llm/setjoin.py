@@ -11,23 +11,28 @@ Elements are compared by 46 bits of their hash and their level, parts by 64 bits
 
 from __future__ import annotations
 
+import gc
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyguard.llm.textscan import Scan, chain, mix, owners, ranges, slices
 from tallyguard.session import scratch_path, stored
 
 BUCKET_BITS = 22
+BLOCK_BITS = 16
 CANDIDATE_BITS = 25
 HASH_BITS = 46
 BLOCK = 1 << 12
-PAIR_BLOCK = 1 << 21
+PAIR_BLOCK = 1 << 18
+PREFIX_LANES, LANES = 2, 8
+"""64-bit parity words that travel with prefix rows, and of the sketches that pairs are sifted by."""
 SALTS = 32
 HOT_LEVEL = 40
 """Level from which an element (a million occurrences or more) is dealt over several tasks."""
@@ -128,19 +133,29 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
 
 
-SCAN_SCHEMA = "kind int, id long, number int, sig long, n long"
+def small_batches(spark: SparkSession) -> None:
+    """Send rows to Python in batches of at most 8 MB, so that long texts and sets need no more memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
+SCAN_SCHEMA = "kind int, id long, number int, sig long, n long, data binary"
 PART, COUNT, ROW = 0, 1, 2
 
 
 def _scan(batches: Iterator[pa.RecordBatch], cut: Callable, distinct: bool) -> Iterator[pa.RecordBatch]:
-    """Part rows (id, number, sig, n), one row of n parts-with-or-without-words for each text, counts by bucket."""
-    counts, seen = np.zeros(1 << BUCKET_BITS, np.uint32), set()
+    """Part rows (id, number, sig, n), a row of each text (sig: its parts, n: its lines), packed counts by block."""
+    counts, seen, waiting = np.zeros(1 << BUCKET_BITS, np.uint32), set(), []
+
+    def count() -> None:
+        np.add(counts, np.bincount(np.concatenate(waiting), minlength=len(counts)), out=counts, casting="unsafe")
+        waiting.clear()
+
     flat = np.zeros(1 << BUCKET_BITS, np.uint8)
 
-    def rows(kind, ids, number, sig, n):
+    def rows(kind, ids, number, sig, n, data=None):
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(n), kind, np.int32)), ids, pa.array(number.astype(np.int32)), _long(sig), _long(n)],
-            ["kind", "id", "number", "sig", "n"])
+            [pa.array(np.full(len(n), kind, np.int32)), ids, pa.array(number.astype(np.int32)), _long(sig), _long(n),
+             pa.array(data or [None] * len(n), pa.binary())], ["kind", "id", "number", "sig", "n", "data"])
 
     for batch in batches:
         ids = batch.column(0)
@@ -154,53 +169,67 @@ def _scan(batches: Iterator[pa.RecordBatch], cut: Callable, distinct: bool) -> I
             yield rows(PART, ids.take(pa.array(parts.row + lo)), parts.number, sig, n)
             newlines = np.r_[0, np.cumsum(raw == 10)][at]
             zero = np.zeros(hi - lo, np.int64)
-            yield rows(ROW, ids.slice(lo, hi - lo), zero, zero, np.diff(newlines) + 1)
+            held = np.bincount(parts.row, minlength=hi - lo)
+            yield rows(ROW, ids.slice(lo, hi - lo), zero, held, np.diff(newlines) + 1)
             new = chosen(parts, fresh(sig, seen))
-            counts += np.bincount((new.elements >> np.uint64(64 - BUCKET_BITS)).astype(np.int64),
-                                  minlength=1 << BUCKET_BITS).astype(np.uint32)
-    used = np.flatnonzero(counts)
-    for lo in range(0, len(used), 1 << 16):
-        some = used[lo:lo + (1 << 16)]
-        zero = np.zeros(len(some), np.int64)
-        yield rows(COUNT, _long(some), zero, zero, counts[some])
+            waiting.append((new.elements >> np.uint64(64 - BUCKET_BITS)).astype(np.int32))
+            if sum(map(len, waiting)) >= len(counts):
+                count()
+    if waiting:
+        count()
+    parts_of = counts.reshape(-1, 1 << BLOCK_BITS)
+    used = np.flatnonzero(parts_of.any(1))
+    if len(used):
+        zero = np.zeros(len(used), np.int64)
+        yield rows(COUNT, _long(used), zero, zero, zero, [zlib.compress(parts_of[i].tobytes(), 1) for i in used])
 
 
 def scan_parts(docs: DataFrame, cut: Callable, distinct: bool) -> DataFrame:
     """One pass over (doc_id, text): all parts, rows and bucket counts, stored by kind."""
     spark = docs.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, "parts")
     found = docs.mapInArrow(partial(_scan, cut=cut, distinct=distinct), SCAN_SCHEMA)
     found.write.partitionBy("kind").parquet(path)
     return spark.read.schema(SCAN_SCHEMA).parquet(path)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, levels) of the buckets in this partition, 2**16 buckets a block."""
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, levels): the packed counts of each block in this partition added up, one block a key."""
     blocks: dict[int, np.ndarray] = {}
     for batch in batches:
-        bucket, n = (batch.column(i).to_numpy() for i in (0, 1))
+        for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            found = np.frombuffer(zlib.decompress(data.as_py()), np.uint32)
+            blocks[block] = blocks[block] + found if block in blocks else found.astype(np.uint64)
+    for block, n in blocks.items():
         level = np.where(n > 1, np.clip(np.floor(2 * np.log2(np.maximum(n, 2))), 1, 63), 0).astype(np.uint8)
-        for block in np.unique(bucket >> 16):
-            here = bucket >> 16 == block
-            blocks.setdefault(int(block), np.zeros(1 << 16, np.uint8))[bucket[here] & 0xFFFF] = level[here]
-    if blocks:
-        yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int64()),
-                                          pa.array([x.tobytes() for x in blocks.values()], pa.binary())],
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([level.tobytes()], pa.binary())],
                                          ["block", "levels"])
 
 
 def rarity_levels(scanned: DataFrame) -> np.ndarray:
     """Level of every bucket: 0 for at most one occurrence, else twice the count's binary logarithm."""
-    counts = scanned.where(F.col("kind") == COUNT).groupBy(F.col("id").alias("bucket")).agg(F.sum("n").alias("n"))
-    blocks = counts.repartition(16, F.shiftright("bucket", 16)).mapInArrow(_blocks, "block long, levels binary")
+    packed = scanned.where(F.col("kind") == COUNT).select("id", "data")
+    blocks = packed.repartition(16, "id").mapInArrow(_summed, "block long, levels binary")
     out = np.zeros(1 << BUCKET_BITS, np.uint8)
-    for block, levels in blocks.collect():                   # at most 64 rows of 64 KB
-        at = block << 16
-        out[at:at + (1 << 16)] = np.maximum(out[at:at + (1 << 16)], np.frombuffer(levels, np.uint8))
+    for block, levels in blocks.collect():                   # 2**BUCKET_BITS bytes in all
+        out[block << BLOCK_BITS:block + 1 << BLOCK_BITS] = np.frombuffer(levels, np.uint8)
     return out
 
 
-PREFIX_SCHEMA = "key long, sig long, n int, pos int, parity long, hot boolean"
+def parities(codes: np.ndarray, first: np.ndarray, lanes: int) -> list[np.ndarray]:
+    """For every set, whether each of 64 * lanes classes of elements holds an odd number: words of bits.
+
+    Classes that differ between two sets hold an element of only one of them, so their number bounds
+    the size of the symmetric difference from below. ``lanes`` is a power of two.
+    """
+    bit = np.uint64(1) << (codes & np.uint64(63))
+    lane = codes >> np.uint64(6) & np.uint64(lanes - 1)
+    return [np.bitwise_xor.reduceat(np.where(lane == i, bit, np.uint64(0)), first[:-1]) if len(codes) else codes
+            for i in range(lanes)]
+
+
+PREFIX_SCHEMA = "key long, sig long, n int, pos int, parity long, parity2 long, hot boolean"
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], cut: Callable, levels, t: float) -> Iterator[pa.RecordBatch]:
@@ -217,14 +246,14 @@ def _prefixes(batches: Iterator[pa.RecordBatch], cut: Callable, levels, t: float
             pos = np.arange(len(codes)) - first[part]
             if not len(codes):
                 continue
-            parity = np.bitwise_xor.reduceat(np.uint64(1) << (codes & np.uint64(63)), first[:-1])
+            parity = parities(codes, first, PREFIX_LANES)
             pick = (pos < prefix_length(n, t)[part]) & (codes >> np.uint64(HASH_BITS) > 0)
             part = part[pick]
             yield pa.RecordBatch.from_arrays(
                 [_long(codes[pick]), _long(sig[part]), pa.array(n[part].astype(np.int32)),
-                 pa.array(pos[pick].astype(np.int32)), _long(parity[part]),
+                 pa.array(pos[pick].astype(np.int32)), *(_long(x[part]) for x in parity),
                  pa.array(codes[pick] >> np.uint64(HASH_BITS) >= HOT_LEVEL)],
-                ["key", "sig", "n", "pos", "parity", "hot"])
+                ["key", "sig", "n", "pos", "parity", "parity2", "hot"])
 
 
 def prefix_length(n: np.ndarray, t: float) -> np.ndarray:
@@ -232,7 +261,7 @@ def prefix_length(n: np.ndarray, t: float) -> np.ndarray:
     return n - np.ceil(t * n - 1e-9).astype(n.dtype) + 1
 
 
-def _alive(key, sig, n, pos, parity, hot, t: float) -> np.ndarray:
+def _alive(key, sig, n, pos, parity, parity2, hot, t: float) -> np.ndarray:
     """Which rows (sorted by key and n) have another of their key that passes all filters; hot ones do anyway."""
     alive = hot.copy()
     size = len(key)
@@ -243,7 +272,7 @@ def _alive(key, sig, n, pos, parity, hot, t: float) -> np.ndarray:
         most = np.minimum(n[a] - pos[a], n[b] - pos[b])
         ok = (sig[a] != sig[b]) & (most >= need) & (n[b] * t <= n[a] + 1e-9)
         a, b = a[ok], b[ok]
-        apart = np.bitwise_count(parity[a] ^ parity[b])
+        apart = np.bitwise_count(parity[a] ^ parity[b]) + np.bitwise_count(parity2[a] ^ parity2[b])
         ok = apart <= n[a] + n[b] - 2 * need[ok]
         alive[a[ok]] = True
         alive[b[ok]] = True
@@ -273,9 +302,9 @@ def _shared(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.RecordBa
     held: list[pa.RecordBatch] = []
 
     def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        cols = [rows.column(i).to_numpy() for i in range(6)]
-        key, sig, n, pos, parity, hot = cols
-        alive = _alive(key, sig, n.astype(np.int64), pos.astype(np.int64), parity.view(np.uint64), hot, t)
+        key, sig, n, pos, parity, parity2, hot = (rows.column(i).to_numpy() for i in range(7))
+        alive = _alive(key, sig, n.astype(np.int64), pos.astype(np.int64), parity.view(np.uint64),
+                       parity2.view(np.uint64), hot, t)
         yield from rows.filter(pa.array(alive)).drop_columns(["hot"]).to_batches()
 
     for batch in batches:
@@ -292,15 +321,24 @@ def _shared(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.RecordBa
 
 
 def shared_prefixes(docs: DataFrame, cut: Callable, levels, t: float) -> DataFrame:
-    """Stored rows (key, sig, n, pos, parity): prefix elements that may join their part with another."""
+    """Stored rows (key, sig, n, pos, parity, parity2): prefix elements that may join their part with another."""
     rows = docs.mapInArrow(partial(_prefixes, cut=cut, levels=levels, t=t), PREFIX_SCHEMA)
     dealt = rows.repartition("key", F.when(F.col("hot"), F.pmod("sig", F.lit(SALTS))).otherwise(0))
     sorted_rows = dealt.sortWithinPartitions("key", "n")
-    return stored(sorted_rows.mapInArrow(partial(_shared, t=t), "key long, sig long, n int, pos int, parity long"),
-                  "prefixes")
+    out = stored(sorted_rows.mapInArrow(partial(_shared, t=t), PREFIX_SCHEMA.removesuffix(", hot boolean")), "prefixes")
+    del rows, dealt, sorted_rows
+    free_shuffles(docs.sparkSession)
+    return out
+
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the driver collect its garbage, upon which Spark deletes the shuffle files of finished steps."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
-SET_SCHEMA = "sig long, codes binary"
+
+SKETCH = [f"s{i}" for i in range(LANES)]
+SET_SCHEMA = "sig long, n int, codes binary, " + ", ".join(f"{c} long" for c in SKETCH)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], cut: Callable, levels, wanted) -> Iterator[pa.RecordBatch]:
@@ -316,12 +354,13 @@ def _sets(batches: Iterator[pa.RecordBatch], cut: Callable, levels, wanted) -> I
             codes, first = ordered_sets(chosen(parts, keep), levels.value)
             if len(first) > 1:
                 yield pa.RecordBatch.from_arrays(
-                    [_long(sig[keep]), pa.array([codes[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary())],
-                    ["sig", "codes"])
+                    [_long(sig[keep]), pa.array(np.diff(first).astype(np.int32)),
+                     pa.array([codes[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary()),
+                     *(_long(x) for x in parities(codes, first, LANES))], ["sig", "n", "codes", *SKETCH])
 
 
 def candidate_sets(docs: DataFrame, cut: Callable, levels, shared: DataFrame) -> DataFrame:
-    """Stored (sig, codes) of the parts in ``shared``, from one more pass; a bitmap keeps most others out."""
+    """Stored sets and sketches of the parts in ``shared``, from one more pass; a bitmap keeps most others out."""
     spark = docs.sparkSession
     bit = F.col("sig").bitwiseAND((1 << CANDIDATE_BITS) - 1)
     words = shared.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
@@ -333,13 +372,18 @@ def candidate_sets(docs: DataFrame, cut: Callable, levels, shared: DataFrame) ->
     return stored(found.dropDuplicates(["sig"]), "sets")
 
 
+def sketched(shared: DataFrame, sets: DataFrame) -> DataFrame:
+    """Prefix rows with the sketch of their part in place of the short parities."""
+    return shared.drop("parity", "parity2").join(sets.select("sig", *SKETCH), "sig")
+
+
 def possible(left: str, right: str, t: float) -> str:
-    """SQL of the length, positional and parity filters between two prefix rows."""
+    """SQL of the length, positional and parity filters between two sketched prefix rows."""
     a, b = left, right
     need = f"ceil({t / (1 + t)!r}D * ({a}.n + {b}.n) - 1e-9)"
+    apart = " + ".join(f"bit_count({a}.{c} ^ {b}.{c})" for c in SKETCH)
     return (f"least({a}.n, {b}.n) >= greatest({a}.n, {b}.n) * {t!r}D - 1e-9"
-            f" AND least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {need}"
-            f" AND bit_count({a}.parity ^ {b}.parity) <= {a}.n + {b}.n - 2 * {need}")
+            f" AND least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {need} AND {apart} <= {a}.n + {b}.n - 2 * {need}")
 
 
 def _similar(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.RecordBatch]:
@@ -369,7 +413,8 @@ def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, t: float) -> DataFrame:
     """The pairs (a, b) of signatures whose sets have Jaccard similarity t or more; each is verified once."""
-    both = (pairs.join(sets.select(F.col("sig").alias("a"), F.col("codes").alias("codes_a")), "a")
-            .join(sets.select(F.col("sig").alias("b"), F.col("codes").alias("codes_b")), "b")
+    codes = sets.select("sig", "codes")
+    both = (pairs.join(codes.select(F.col("sig").alias("a"), F.col("codes").alias("codes_a")), "a")
+            .join(codes.select(F.col("sig").alias("b"), F.col("codes").alias("codes_b")), "b")
             .select("a", "b", "codes_a", "codes_b"))
     return both.mapInArrow(partial(_similar, t=t), "a long, b long")
