@@ -123,8 +123,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, least: int = LEAST_SUPPO
     entities = windows.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= least)
     together = (windows.join(entities.select("entity"), "entity", "left_semi").select("entity", F.explode("terms").alias("term"))
                 .groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= least))
-    counted = (together.join(entities, "entity").join(term_documents(docs), "term")
-               .crossJoin(F.broadcast(docs.agg(F.count("*").alias("n")))))              # one row
+    counted = together.join(entities, "entity").join(term_documents(docs), "term").withColumn("n", F.lit(docs.count()))
     apart = F.greatest("n_term", "n_both")
     shared = F.log2(F.col("n_both") * F.col("n") / (apart * F.col("n_entity")))
     content = F.log2(F.col("n") / F.col("n_entity"))
