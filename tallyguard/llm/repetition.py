@@ -14,8 +14,9 @@ from tallyguard.catalog.registry import table
 from tallyguard.llm.textscan import SPACE, Scan, _power, chain, mix, owners, ranges, slices
 
 LEAST_REPEAT = 10
-MOST_COVERED = 0.5
-LONGEST_REPEAT = 250
+MOST_COVERED = 0.2
+LONGEST_REPEAT = 30
+"""Both act beside the base rule, which lets up to half of the words be repeated."""
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 _BASE = 0xD6E8FEB86659FD93

@@ -180,6 +180,27 @@ def test_repetition():
     assert got == [plain_repetition(t, 10) for t in texts]
 
 
+def test_repeats_that_pass_the_base_rule(spark):
+    def fresh(name, n):
+        return [f"{name}{i}" for i in range(n)]
+
+    passage, paragraph, sentence = fresh("p", 240), fresh("q", 60), fresh("s", 15)
+    scattered = [w for k in range(8) for w in (*paragraph, *fresh(f"v{k}x", 65))]
+    texts = {
+        "plain": fresh("u", 1000), "passage": passage + fresh("u", 520) + passage, "scattered": scattered,
+        "longest only": paragraph + fresh("u", 880) + paragraph,
+        "covered only": [w for k in range(4) for w in (*sentence, *fresh(f"v{k}x", 25))],
+        "sentence twice": sentence + fresh("u", 300) + sentence}
+    rows = {r.doc_id: r for r in repetition.repetition_rules(docs_of(spark, [" ".join(t) for t in texts.values()])).collect()}
+    got = {name: rows[i] for i, name in enumerate(texts)}
+    assert not any(r.base_failed for r in got.values())
+    assert {name for name, r in got.items() if r.kept} == {"plain", "sentence twice"}
+    only = got["longest only"]
+    assert only.longest_repeat > repetition.LONGEST_REPEAT and only.covered_words <= repetition.MOST_COVERED * only.n_words
+    only = got["covered only"]
+    assert only.longest_repeat <= repetition.LONGEST_REPEAT and only.covered_words > repetition.MOST_COVERED * only.n_words
+
+
 def test_fingerprints(spark):
     texts = [f"{' '.join(words(t))} {i % 7}" if t else t for i, t in enumerate(near_texts(seed=6))]
     rows = sorted(fingerprints.fingerprints(docs_of(spark, texts)).collect(), key=lambda r: r.doc_id)
