@@ -105,7 +105,7 @@ def with_spans(docs: DataFrame, width: int = CONTEXT_CHARS) -> DataFrame:
 
 
 def term_documents(docs: DataFrame) -> DataFrame:
-    """(term, n_term): in how many documents every term stands."""
+    """(term, n_term): in how many rows every term stands."""
     terms = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
     return docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
 
@@ -114,8 +114,10 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, least: int = LEAST_SUPPO
                      generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
     """Stored (entity, term, action) of the terms whose disclosure of an entity reaches a threshold.
 
-    Occurrences are counted once for each different context, so that copies of a text add nothing.
+    Occurrences are counted once for each different context, terms and rows once for each different
+    text, so that copies of a text add nothing.
     """
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).distinct()
     windows = (found.select(F.explode("contexts").alias("c")).select("c.kind", "c.value", F.array_distinct(
         F.transform("c.terms", lambda t: t["term"])).alias("terms"))
         .select(F.explode(F.array(F.col("kind"), F.concat_ws(":", "kind", "value"))).alias("entity"),
@@ -123,7 +125,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, least: int = LEAST_SUPPO
     entities = windows.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= least)
     together = (windows.join(entities.select("entity"), "entity", "left_semi").select("entity", F.explode("terms").alias("term"))
                 .groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= least))
-    counted = together.join(entities, "entity").join(term_documents(docs), "term").withColumn("n", F.lit(docs.count()))
+    counted = together.join(entities, "entity").join(term_documents(texts), "term").withColumn("n", F.lit(texts.count()))
     apart = F.greatest("n_term", "n_both")
     shared = F.log2(F.col("n_both") * F.col("n") / (apart * F.col("n_entity")))
     content = F.log2(F.col("n") / F.col("n_entity"))

@@ -148,6 +148,15 @@ def test_disclosing_terms(spark):
     assert clean[0] == texts[0] and "hotline" not in clean[205] and "[phone]" in clean[205] and "555" not in clean[205]
 
 
+def test_copies_do_not_hide_terms(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(12)) for _ in range(200)]
+    near = [f"{rng.choice(['alpha', 'beta'])} hotline +1 555 000 {1000 + i} gamma" for i in range(6)]
+    texts += near + [near[0]] * 300
+    rows = sanitise.personal_data(docs_of(spark, texts)).collect()
+    assert all(("remove:" in r.spans) == (r.doc_id >= 200) for r in rows)
+
+
 def plain_repetition(text, least):
     w = words(text)
 
