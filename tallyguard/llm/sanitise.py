@@ -1,10 +1,10 @@
 """Personal data and the terms that give it away, by column functions only.
 
 Base spans (email, ip, card, phone) come from patterns. Every base value and its kind are protected
-entities; what stands near a base span is its context. A term discloses an entity when they occur
-together more often than apart: its pointwise mutual information with the entity, as a share of the
-entity's own information content -log2 p(e), reaches a threshold. In contexts of that entity such terms are
-generalised, beyond a second threshold removed.
+entities. A term discloses an entity when they stand in the same texts more often than apart: its
+pointwise mutual information with the entity, as a share of the entity's own information content
+-log2 p(e), reaches a threshold. Such terms are generalised wherever they stand, beyond a second
+threshold removed.
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from tallyguard.catalog.registry import table
 from tallyguard.session import stored
 
-CONTEXT_CHARS = 48
-LEAST_SUPPORT = 5
+KIND_SUPPORT, VALUE_SUPPORT = 5, 2
+"""Distinct texts that a term and an entity share; in a single text each term would disclose its value."""
+BLOCK = 64
+MOST_BROADCAST = 100_000
 GENERALISE_AT, REMOVE_AT = 0.7, 0.9
 
 # The patterns, written so that a match never needs a second try: a run is entered at its start only
@@ -27,7 +29,7 @@ CARD = r"[0-9](?<![0-9][0-9])(?<![0-9][ -][0-9])(?:[ -]?[0-9]){15,18}+(?![ -]?[0
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 KINDS = ["email", "ip", "card", "phone"]
 ACTIONS = ["generalise", "remove"]
-TERM = r"\p{L}{3,}+"
+TERM = r"\p{L}{2,}+"
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
@@ -80,77 +82,104 @@ def listed(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def context_terms(text: Column, span: Column, spans: Column, width: int) -> Column:
-    """Whole terms within ``width`` code points of a span, as array of (kind, start, end, value), outside all spans."""
-    begin = F.greatest(span["start"] - width, F.lit(0))
-    left = located(F.substring(text, begin + 1, span["start"] - begin), TERM, "term", begin)
-    left = F.filter(left, lambda t: (t["start"] > begin) | (begin == 0))
-    right = located(F.substring(text, span["end"] + 1, F.lit(width)), TERM, "term", span["end"])
-    right = F.filter(right, lambda t: (t["end"] < span["end"] + width))
-    return F.filter(F.concat(left, right), lambda t: ~F.exists(
-        spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+def without_spans(text: Column, spans: Column) -> Column:
+    """``text`` with a digit for every sign of a span: terms end there, places stay."""
+    def step(state: Column, s: Column) -> Column:
+        begin = F.greatest(s["start"], state["at"])
+        out = F.concat(state["out"], F.substring(text, state["at"] + 1, begin - state["at"]), F.repeat(F.lit("0"), s["end"] - begin))
+        return F.when(s["end"] <= state["at"], state).otherwise(F.struct(s["end"].alias("at"), out.alias("out")))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    places = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return F.when(F.size(spans) > 0, F.aggregate(places, start, step, lambda s: F.concat(
+        s["out"], F.substring(text, s["at"] + 1, F.length(text))))).otherwise(text)
+
+
+def term_places(text: Column) -> Column:
+    """All terms as array of (term, start, end); found in blocks, so that long texts do not copy long arrays."""
+    kind = "array<struct<term:string,start:int,end:int>>"
+    between = F.split(text, TERM, -1)
+    matches = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("block"), F.array().cast(f"array<{kind}>").alias("done"))
+
+    def step(state: Column, x: Column) -> Column:
+        begin = state["at"] + F.length(x["between"])
+        end = begin + F.coalesce(F.length(x["match"]), F.lit(0))
+        full = F.size(state["block"]) >= BLOCK
+        term = F.struct(F.lower(x["match"]).alias("term"), begin.alias("start"), end.alias("end"))
+        block = F.when(full, F.array(term)).otherwise(F.array_append(state["block"], term))
+        return F.struct(end.alias("at"), F.when(x["match"].isNull(), state["block"]).otherwise(block).alias("block"),
+                        F.when(full & x["match"].isNotNull(), F.array_append(state["done"], state["block"]))
+                        .otherwise(state["done"]).alias("done"))
+
+    both = F.zip_with(between, matches, lambda b, m: F.struct(b.alias("between"), m.alias("match")))
+    return F.aggregate(both, start, step, lambda s: F.flatten(F.array_append(s["done"], s["block"])))
+
+
+def distinct_terms(text: Column, spans: Column) -> Column:
+    """The different terms outside the spans."""
+    terms = F.regexp_extract_all(without_spans(text, spans), F.lit(TERM), F.lit(0))
+    return F.array_distinct(F.transform(terms, F.lower))
 
 
-def with_spans(docs: DataFrame, width: int = CONTEXT_CHARS) -> DataFrame:
-    """Stored (doc_id, row_key, base, contexts): base spans of every row and the terms near each of them."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("base", base_spans(F.col("text")))
-    text, base = F.col("text"), F.col("base")
-    context = F.transform(base, lambda b: F.struct(
-        b["kind"].alias("kind"), b["value"].alias("value"), F.transform(
-            context_terms(text, b, base, width), lambda t: F.struct(
-                F.lower(t["value"]).alias("term"), t["start"].alias("start"), t["end"].alias("end"))).alias("terms")))
-    found = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "base",
-                        F.when(F.size("base") > 0, context).alias("contexts"))
-    return stored(found, "spans")
+def with_spans(docs: DataFrame) -> DataFrame:
+    """(doc_id, row_key, text, base) of every row; a null text is empty."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return rows.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text", base_spans(F.col("text")).alias("base"))
 
 
-def term_documents(docs: DataFrame) -> DataFrame:
-    """(term, n_term): in how many rows every term stands."""
-    terms = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    return docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """Stored (entities, terms) of every different text: its base values and their kinds, the terms outside base spans."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).distinct().withColumn("base", base_spans(F.col("text")))
+    entities = F.concat(F.transform("base", lambda s: s["kind"]),
+                        F.transform("base", lambda s: F.concat_ws(":", s["kind"], s["value"])))
+    return stored(texts.select(F.array_distinct(entities).alias("entities"),
+                               distinct_terms(F.col("text"), F.col("base")).alias("terms")), "texts")
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, least: int = LEAST_SUPPORT,
-                     generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
-    """Stored (entity, term, action) of the terms whose disclosure of an entity reaches a threshold.
+def disclosing_terms(texts: DataFrame, kind_support: int = KIND_SUPPORT, value_support: int = VALUE_SUPPORT,
+                     generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> tuple[DataFrame, DataFrame]:
+    """((term, action) of the terms whose disclosure of an entity reaches a threshold, (term) of frequent others), stored.
 
-    Occurrences are counted once for each different context, terms and rows once for each different
-    text, so that copies of a text add nothing.
+    All counts are of different texts, so that copies of a text add nothing.
     """
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).distinct()
-    windows = (found.select(F.explode("contexts").alias("c")).select("c.kind", "c.value", F.array_distinct(
-        F.transform("c.terms", lambda t: t["term"])).alias("terms"))
-        .select(F.explode(F.array(F.col("kind"), F.concat_ws(":", "kind", "value"))).alias("entity"),
-                F.xxhash64("kind", "value", "terms").alias("window"), "terms").distinct())
-    entities = windows.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= least)
-    together = (windows.join(entities.select("entity"), "entity", "left_semi").select("entity", F.explode("terms").alias("term"))
-                .groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= least))
-    counted = together.join(entities, "entity").join(term_documents(texts), "term").withColumn("n", F.lit(texts.count()))
-    apart = F.greatest("n_term", "n_both")
-    shared = F.log2(F.col("n_both") * F.col("n") / (apart * F.col("n_entity")))
-    content = F.log2(F.col("n") / F.col("n_entity"))
+    n = texts.count()
+    n_term = stored(texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_term")), "counts")
+    is_kind = F.col("entity").isin(KINDS)
+    support = F.when(is_kind, kind_support).otherwise(value_support)
+    held = texts.where(F.size("entities") > 0).select(F.explode("entities").alias("entity"), "terms")
+    entities = stored(held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support), "entities")
+    values = held.where(~is_kind).join(entities.select("entity"), "entity", "left_semi")
+    together = (held.where(is_kind).union(values).select("entity", F.explode("terms").alias("term"))
+                .groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support))
+    shared = F.log2(F.col("n_both") * F.lit(n) / (F.col("n_term") * F.col("n_entity")))
+    content = F.log2(F.lit(n) / F.col("n_entity"))
     disclosure = F.when(content > 0, shared / content)
-    return stored(counted.withColumn("disclosure", disclosure).where(F.col("disclosure") >= generalise_at).select(
-        "entity", "term", F.when(F.col("disclosure") >= remove_at, ACTIONS[1]).otherwise(ACTIONS[0]).alias("action")),
-        "terms")
+    risky = (together.join(entities, "entity").join(n_term, "term").withColumn("disclosure", disclosure)
+             .where(F.col("disclosure") >= generalise_at).groupBy("term").agg(F.max("disclosure").alias("disclosure")))
+    risky = stored(risky.select("term", F.when(F.col("disclosure") >= remove_at, ACTIONS[1]).otherwise(
+        ACTIONS[0]).alias("action")), "terms")
+    frequent = n_term.where(F.col("n_term") * 1000 >= n).join(risky, "term", "left_anti").select("term")
+    return risky, stored(frequent, "frequent")
 
 
-def all_spans(docs: DataFrame, width: int = CONTEXT_CHARS, **thresholds) -> DataFrame:
+def all_spans(docs: DataFrame, **thresholds) -> DataFrame:
     """(doc_id, row_key, base, added) of every row: base spans and those of disclosing terms, actions as kinds."""
-    found = with_spans(docs, width)
-    risky = disclosing_terms(docs, found, **thresholds)
-    near = (found.select("doc_id", "row_key", F.explode("contexts").alias("c"))
-            .select("doc_id", "row_key", "c.kind", "c.value", F.explode("c.terms").alias("t"))
-            .select("doc_id", "row_key", F.explode(F.array(F.col("kind"), F.concat_ws(":", "kind", "value"))).alias("entity"),
-                    "t.term", "t.start", "t.end"))
-    hits = (near.join(risky, ["entity", "term"]).groupBy("doc_id", "row_key", "start", "end")
-            .agg(F.max("action").alias("kind"))                        # 'remove' is after 'generalise'
-            .groupBy("row_key", F.col("doc_id").alias("_id")).agg(
-                F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("added")))
-    joined = found.join(hits.withColumnRenamed("row_key", "_key"), (F.col("row_key") == F.col("_key")) & F.col(
-        "doc_id").eqNullSafe(F.col("_id")), "left")
+    found = with_spans(docs)
+    risky, frequent = disclosing_terms(distinct_texts(docs), **thresholds)
+    names = found.select("doc_id", "row_key", F.explode_outer(distinct_terms(F.col("text"), F.col("base"))).alias("term"))
+    if frequent.count() <= MOST_BROADCAST:                             # most names need no shuffle
+        names = names.join(F.broadcast(frequent), "term", "left_anti")
+    hits = (names.join(risky, "term").groupBy("row_key", "doc_id").agg(
+        F.collect_set(F.struct("term", "action")).alias("flagged")))
+    hits = hits.select(F.col("row_key").alias("_key"), F.col("doc_id").alias("_id"), F.map_from_entries("flagged").alias("flagged"))
+    joined = found.join(hits, (F.col("row_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    places = F.filter(term_places(without_spans(F.col("text"), F.col("base"))),
+                      lambda t: F.map_contains_key(F.col("flagged"), t["term"]))
+    added = F.array_sort(F.transform(places, lambda t: F.struct(
+        F.element_at("flagged", t["term"]).alias("kind"), t["start"].alias("start"), t["end"].alias("end"))))
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    return joined.select("doc_id", "row_key", "base", F.coalesce("added", none).alias("added"))
+    return joined.select("doc_id", "row_key", "base", F.when(F.col("flagged").isNotNull(), added).otherwise(none).alias("added"))
 
 
 def sanitised(docs: DataFrame, **options) -> DataFrame:
@@ -163,7 +192,7 @@ def sanitised(docs: DataFrame, **options) -> DataFrame:
         F.lit("["), s["kind"], F.lit("]")).alias("put"))), F.transform("added", lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), F.when(
                 s["kind"] == ACTIONS[1], "").otherwise("[context]").alias("put"))))
-    keyed = spans.where((F.size("base") > 0)).select(
+    keyed = spans.where((F.size("base") > 0) | (F.size("added") > 0)).select(
         F.col("row_key").alias("_key"), F.array_sort(marks).alias("_marks")).dropDuplicates(["_key"])
     rows = docs.withColumn("_row", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
     joined = rows.join(keyed, rows["_row"] == keyed["_key"], "left")

@@ -157,6 +157,35 @@ def test_copies_do_not_hide_terms(spark):
     assert all(("remove:" in r.spans) == (r.doc_id >= 200) for r in rows)
 
 
+def test_terms_far_off_and_rare_values(spark):
+    rng = random.Random(6)
+    fill = [f"{a}{b}" for a in ["mor", "tel", "sun", "rik"] for b in ["an", "os", "ek", "ul"]]
+    texts = [" ".join(rng.choices(fill, k=40)) for _ in range(300)]
+    for i in range(3):
+        texts.append(" ".join([*rng.choices(fill, k=20), "Quillon", *rng.choices(fill, k=30), "q.smith@mail.example.com"]))
+        texts.append(" ".join([*rng.choices(fill, k=5), "张伟,", *rng.choices(fill, k=30), "IP 10.20.30.40"]))
+    texts.append(" ".join([*rng.choices(fill, k=40), "quillon", *rng.choices(fill, k=5), "张伟"]))
+    rows = {r.doc_id: r for r in sanitise.personal_data(docs_of(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        assert rows[i].base_sha256 == hashlib.sha256(plain_spans(t).encode()).hexdigest()
+        added = [x.split(":") for x in rows[i].spans.split(",") if x.split(":")[0] in sanitise.ACTIONS]
+        names = {t[int(a):int(b)].lower() for _, a, b in added}
+        assert names == {w for w in ("quillon", "张伟", "ip") if w in words(lower(t.replace(",", "")))}
+    clean = {r.doc_id: r.text for r in sanitise.sanitised(docs_of(spark, texts)).collect()}
+    assert clean[0] == texts[0] and not any(w in t.lower() for t in clean.values() for w in ("quillon", "张伟", "smith"))
+
+
+def test_term_places(spark):
+    texts = ["é bc " * 700, "", "a", "xy", " xy1zz ", "10.0.0.1 ab c.d@e.fg hi +1 555 000 1234 jk"]
+    text = F.col("text")
+    df = docs_of(spark, texts).select("doc_id", sanitise.term_places(
+        sanitise.without_spans(text, sanitise.base_spans(text))).alias("found"))
+    got = {r.doc_id: [tuple(x) for x in r.found] for r in df.collect()}
+    expected = [[(m[0], *m.span()) for m in re.finditer(r"[^\W\d_]{2,}", t)] for t in texts[:5]]
+    assert [got[i] for i in range(5)] == expected
+    assert [x[0] for x in got[5]] == ["ab", "hi", "jk"] and all(texts[5][a:b] == w for w, a, b in got[5])
+
+
 def plain_repetition(text, least):
     w = words(text)
 
