@@ -15,7 +15,7 @@ from tallyguard.llm.setjoin import (
     sketched)
 from tallyguard.session import stored
 
-LEAST_WORDS = 5
+LEAST_WORDS = 1
 SIMILARITY = 0.75
 
 
@@ -49,8 +49,8 @@ def line_decisions(docs: DataFrame, t: float = SIMILARITY, least: int = LEAST_WO
 
     Lines are what ``\\n`` separates, numbered from 0, their sets the distinct words (A-Z as a-z). A
     line of ``least`` or more words is removed when a line before it, by doc_id and number, has a
-    set of Jaccard similarity ``t`` or more; shorter lines always stay. A null text is one empty
-    line. Rows with equal doc_id count as one document, a null doc_id comes first; other columns are
+    set of Jaccard similarity ``t`` or more; shorter lines and lines without a word always stay. A
+    null text is one empty line. Rows with equal doc_id count as one document, a null doc_id comes first; other columns are
     not looked at; an empty table gives no rows.
     """
     spark = docs.sparkSession

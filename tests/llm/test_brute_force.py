@@ -105,6 +105,14 @@ def test_line_dedup(spark):
         assert kept.get(i, "gone") == (texts[i] if not gone else rest if words(rest) else "gone")
 
 
+def test_short_lines_are_deduplicated(spark):
+    texts = ["Share this\n\nHome\none two three four", "home\n\nshare this\nfour three two one\nother", "Home", "this share\nHome page"]
+    removed, _ = line_dedup.line_decisions(docs_of(spark, texts))
+    assert sorted(map(tuple, removed.collect())) == [(1, 0), (1, 2), (1, 3), (2, 0), (3, 0)]
+    kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(spark, texts)).collect()}
+    assert kept == {0: texts[0], 1: "\nother", 3: "Home page"}
+
+
 def plain_spans(text):
     """Base spans by the patterns as they are given."""
     out = []
