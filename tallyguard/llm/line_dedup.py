@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyguard.catalog.registry import table
+from tallyguard.llm.rows import fresh
 from tallyguard.llm.setjoin import (
     PART, ROW, candidate_sets, line_parts, possible, rarity_levels, scan_parts, shared_prefixes, similar_pairs,
     sketched)
@@ -90,12 +91,14 @@ def _without(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.Record
 def dedup_lines(docs: DataFrame, t: float = SIMILARITY, least: int = LEAST_WORDS) -> DataFrame:
     """``docs`` without the removed lines; a document that loses its last word this way goes too.
 
-    n_chars, where there is such a column, is the length of the new text.
+    n_chars, where there is such a column, is the length of the new text. All columns of ``docs``
+    stay, whatever their names; nulls, empty texts and repeated rows are as in ``line_decisions``,
+    and a document that had no word before stays. An empty table gives no rows.
     """
     removed, _ = line_decisions(docs, t, least)
-    numbers = removed.distinct().groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("number").alias("_removed"))
-    joined = docs.join(numbers, docs["doc_id"].eqNullSafe(F.col("_id")), "left").select(
-        *(docs[c] for c in docs.columns), "_removed")
+    own, gone = fresh(docs, "of", "gone")
+    numbers = removed.distinct().groupBy(F.col("doc_id").alias(own)).agg(F.collect_list("number").alias(gone))
+    joined = docs.join(numbers, F.col("doc_id").eqNullSafe(F.col(own)), "left").drop(own)
     out = joined.mapInArrow(partial(_without, text=docs.columns.index("text")), docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType))
@@ -110,8 +113,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document and those removed from it, over the whole table."""
     removed, rows = line_decisions(table(spark, sf_dir, "documents"))
-    numbers = removed.groupBy("doc_id").agg(F.count("*").alias("n_removed"),
-                                            F.array_sort(F.collect_list("number")).alias("removed"))
-    return rows.join(numbers, "doc_id", "left").select(
+    numbers = removed.groupBy(F.col("doc_id").alias("of")).agg(
+        F.count("*").alias("n_removed"), F.array_sort(F.collect_list("number")).alias("removed"))
+    return rows.join(numbers, F.col("doc_id").eqNullSafe(F.col("of")), "left").select(
         "doc_id", "n_lines", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce(F.array_join("removed", ","), F.lit("")).alias("removed_lines"))

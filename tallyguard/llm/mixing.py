@@ -64,8 +64,9 @@ def targets(sources: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, epochs: float = MOST_EPOCHS,
-        seed: int = SEED) -> DataFrame:
-    """(doc_id, row_hash, source, size, source_size, target, taken) of every row of ``docs``.
+        seed: int = SEED, whole_rows: bool = False) -> DataFrame:
+    """(doc_id, row_hash, source, size, source_size, target, taken) of every row of ``docs``, and on
+    request the row itself as ``row``.
 
     Every document of a source is taken floor(target / source_size) times. What is still missing is
     one more repetition of the first documents in a seeded hash order; the one at the border is
@@ -75,7 +76,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, epochs:
     with ties in the order dealt out equally; a null doc_id stays; other columns are not looked at.
     """
     row = docs.select("doc_id", "source", words(F.col("text")).alias("size"), F.md5(F.concat_ws(
-        "|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("row_hash"))
+        "|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("row_hash"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []))
     row = row.withColumn("bucket", F.conv(F.substring("row_hash", 1, 4), 16, 10).cast("int") % BUCKETS)
     sizes = row.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     totals = sizes.groupBy("source").agg(F.sum("n").alias("source_size"))
@@ -97,21 +99,24 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, epochs:
     cut = dealt.where(border).withColumn("more", F.greatest(F.lit(0), F.least(
         F.col("size"), F.col("left") - F.coalesce(F.sum("size").over(order), F.lit(0)))))
     return full.unionByName(cut).select("doc_id", "row_hash", "source", "size", "source_size", "target", (
-        F.col("whole") * F.col("size") + F.col("more")).cast("long").alias("taken"))
+        F.col("whole") * F.col("size") + F.col("more")).cast("long").alias("taken"), *(["row"] if whole_rows else []))
 
 
 def repeated(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: rows of ``docs`` as often as they are taken; the border's part is its first words."""
-    taken = mix(docs, **options).groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size")).agg(
-        F.max("taken").alias("_taken"))
-    rows = docs.withColumn("_words", words(F.col("text")))
-    joined = rows.join(taken, rows["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size")))
-    whole, rest = F.floor(F.col("_taken") / F.col("_words")).cast("int"), F.col("_taken") % F.col("_words")
-    part = F.expr(r"regexp_extract(text, concat('^(?:[ \\t-\\r]*+[^ \\t-\\r]++){', cast(_taken % _words as string), '}+'), 0)")
+    """The mix itself: rows of ``docs`` as often as they are taken; the border's part is its first words.
+
+    Every row brings its own number of words, so equal rows and rows of one doc_id may be taken
+    differently and their source still has its target. Rows without a word are not taken; all columns
+    stay, whatever their names; an empty table gives no rows.
+    """
+    rows = mix(docs, whole_rows=True, **options).where("size > 0").select(
+        "row", F.col("row.text").alias("text"), "size", "taken")
+    whole, rest = F.floor(F.col("taken") / F.col("size")).cast("int"), F.col("taken") % F.col("size")
+    part = F.expr(r"regexp_extract(text, concat('^(?:[ \\t-\\r]*+[^ \\t-\\r]++){', cast(taken % size as string), '}+'), 0)")
     texts = F.concat(F.array_repeat(F.col("text"), whole), F.when(rest > 0, F.array(part)).otherwise(
         F.array().cast("array<string>")))
-    turned = joined.where("_words > 0").withColumn("_text", F.explode(texts))
-    out = turned.select(*(F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns))
+    turned = rows.select("row", F.explode(texts).alias("text"))
+    out = turned.select(*(F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

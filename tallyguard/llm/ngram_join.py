@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyguard.catalog.registry import table
 from tallyguard.llm.components import components
+from tallyguard.llm.rows import fresh
 from tallyguard.llm.setjoin import (
     PART, ROW, candidate_sets, possible, rarity_levels, scan_parts, shared_prefixes, shingle_parts, similar_pairs,
     sketched)
@@ -90,9 +91,23 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, t: float = SIMILARITY)
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of every group of near duplicates the document with the smallest doc_id stays."""
-    gone = near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Pipeline stage: of every group of near duplicates one row stays, that with the smallest doc_id.
+
+    Where doc_ids are null or repeated, rows are told apart by a stored number: exactly one row of a
+    group stays, one with an id before one without, of equal ids any. Rows without a word are in no
+    group and stay; all columns stay, whatever their names; an empty table gives no rows.
+    """
+    if docs.groupBy("doc_id").agg(F.count("*").alias("c")).where("doc_id IS NULL OR c > 1").isEmpty():
+        gone = near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    number, = fresh(docs, "number")
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(rows.select(F.col(number).alias("doc_id"), "text"))
+    names = rows.select(F.col(number).alias("row"), F.col("doc_id").alias("name"))
+    first = F.struct(F.col("name").isNull().alias("x"), F.col("name").alias("y"), F.col("row").alias("z"))
+    kept = (groups.join(names, groups["doc_id"] == names["row"]).groupBy("component_id")
+            .agg(F.min(first).alias("first")).select(F.col("first.z").alias(number)))
+    return rows.join(kept, number, "left_semi").select(docs.columns)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from tallyguard.catalog.registry import table
 from tallyguard.llm.labelled import fold, training_sample
 from tallyguard.llm.textscan import SPACE, Scan, slices
-from tallyguard.llm.toxicity import best_threshold
 
 BITS, DIM = 17, 8
 GRAMS = (2, 3, 4)
@@ -111,6 +110,19 @@ def train(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs
     return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float64), float(bias[1] - bias[0]))
 
 
+def best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
+    """The logit cut with the most right answers, midway in its gap; 0 where only one class is seen."""
+    if not len(labels) or labels.min() == labels.max():
+        return 0.0
+    order = np.argsort(logits)
+    x, y = logits[order], labels[order]
+    right = np.r_[0, np.cumsum(y == 0)] + np.r_[np.cumsum((y == 1)[::-1])[::-1], 0]
+    right[1:-1][x[1:] == x[:-1]] = -1
+    best = np.flatnonzero(right == right.max())
+    k = int(best[len(best) // 2])
+    return float(x[0] - 1 if k == 0 else x[-1] + 1 if k == len(x) else (x[k - 1] + x[k]) / 2)
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         buckets, counts = [], []
@@ -136,6 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep, most: int = MOST_ROWS) -> Mode
              for b, c in zip(rows["buckets"], rows["counts"])]
     truth = rows["label"].to_numpy(np.int64)
     rest = np.random.default_rng(SEED).permutation(len(truth)) % CALIBRATION_FOLDS == 0
+    rest &= not rest.all()                                    # a single row is for training
     model = train([t for t, r in zip(texts, rest) if not r], truth[~rest])
     logits = np.array([model.slopes[b] @ c / c.sum() + model.bias for (b, c), r in zip(texts, rest) if r])
     model.bias += np.log(CUT / (1 - CUT)) - best_threshold(logits, truth[rest])

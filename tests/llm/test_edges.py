@@ -85,6 +85,71 @@ def test_stages_keep_clean_documents(spark, sf_dir):
         assert {r.doc_id for r in stage(spark, docs, sf_dir).collect()} == set(range(30)), name
 
 
+def test_one_row_of_a_group_stays(spark, sf_dir):
+    rows = [(1, SENTENCE, "a"), (1, SENTENCE, "b"), (1, "other words that stand quite alone here", "c"), (None, SENTENCE, "d"),
+            (None, "nobody knows the id of this one row", "e"), (None, "nobody knows the id of this one row", "f"), (2, None, "g"),
+            (0, "quite " + SENTENCE, "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, number string").repartition(3)
+    kept = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in ngram_join.keep_first(spark, df, sf_dir).collect())
+    assert kept == [(False, 0, "quite " + SENTENCE), (False, 1, "other words that stand quite alone here"),
+                    (False, 2, ""), (True, 0, "nobody knows the id of this one row")]
+
+
+def test_mix_of_repeated_rows_meets_its_target(spark):
+    rows = [(1, " ".join(f"w{i}" for i in range(8)), "s", k) for k in range(3)] + [(None, "a b c", "s", 7)] * 2 + [(5, "x", "t", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, taken int")
+    for share in (0.3, 0.75, 1.5):
+        taken = {r.source: r.t for r in mixing.mix(df, share=share).groupBy("source").agg(F.sum("taken").alias("t")).collect()}
+        made = {r.source: r.t for r in mixing.repeated(df, share=share).groupBy("source").agg(
+            F.sum(mixing.words(F.col("text"))).alias("t")).collect()}
+        assert {s: n for s, n in taken.items() if n} == made
+
+
+def test_lines_of_rows_without_id(spark):
+    df = spark.createDataFrame([(None, "one two three four\none two three four"), (3, "five six seven")], "doc_id long, text string")
+    removed, _ = line_dedup.line_decisions(df)
+    assert [tuple(r) for r in removed.collect()] == [(None, 1)]
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(df.withColumn("of", F.lit(1)).withColumn("gone", F.lit(2))).collect()}
+    assert out == {None: "one two three four", 3: "five six seven"}
+
+
+def test_toxicity_without_evidence(spark):
+    docs = spark.createDataFrame([(i, f"common words {'vile' if i % 3 == 0 else 'mild'} number{i}") for i in range(60)]
+                                 + [(100, None), (101, ""), (102, "zzz yyy xxx")] + [(200 + i, "common words mild") for i in range(9)],
+                                 "doc_id long, text string")
+    one_class = spark.createDataFrame([(i, 0) for i in range(1, 20)], "doc_id long, toxic int")
+    one_row = spark.createDataFrame([(3, 1)], "doc_id long, toxic int")
+    mixed = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    for labels in (one_class, one_row, mixed):
+        scored = {r.doc_id: r for r in toxicity.toxic_scores(docs.repartition(5), labels).collect()}
+        assert all(scored[i].predicted == 0 and scored[i].score == scored[100].score for i in (100, 101, 102))
+        again = {r.doc_id: r.score for r in toxicity.toxic_scores(docs.repartition(2), labels).collect()}
+        assert all(again[i] == r.score for i, r in scored.items())
+        assert len({scored[200 + i].score for i in range(9)}) == 1
+    assert sum(r.predicted for i, r in scored.items() if i < 60) == 20
+
+
+def test_quality_of_few_labels(spark):
+    docs = spark.createDataFrame([(i, f"some words number{i}") for i in range(9)], "doc_id long, text string")
+    for labels in ([(4, 1)], [(4, 0), (5, 0)], [(4, None)]):
+        df = spark.createDataFrame(labels, "doc_id long, quality int")
+        assert quality.quality_scores(docs, df).where("score BETWEEN 0 AND 1").count() == 9
+
+
+def test_thresholds():
+    np = toxicity.np
+    rng = np.random.default_rng(1)
+    logits = rng.normal(0, 2, 4000)
+    one = np.ones(4000)
+    cut = toxicity.threshold(logits, (logits > 1.5).astype(int), one, 0.0)
+    assert ((logits > cut) == (logits > 1.5)).all()
+    assert toxicity.threshold(logits, np.zeros(4000), one, 0.0) >= logits.max() and toxicity.threshold(logits, one, one, 0.0) <= logits.min()
+    assert toxicity.threshold(logits[:0], one[:0], one[:0], 0.7) == 0.7
+    assert toxicity.threshold(np.array([0.1]), np.array([0]), np.array([1.0]), 2.0) == 2.0
+    pair = np.array([1.0, 2.0])
+    assert 1 < toxicity.threshold(pair, np.array([0, 1]), np.ones(2), 9.0) < 2
+
+
 def test_perspectives(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", "ho"), (1, 2, "bob", "ho"), (1, None, None, None),
             (2, 0, "system", "alone"), (None, 0, "ann", "é")]
