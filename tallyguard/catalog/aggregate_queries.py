@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyguard.catalog.registry import (EVENT_KEY, LABELLED, RESPONSES, labelled, query, responses,
                                          sql_parsed, sql_split, table)
 from tallyguard.catalog.source_queries import METRICS_SQL
+from tallyguard.functions.tokens import token_counter
 from tallyguard.operators import lengths, metrics, profiling, timewise
 from tallyguard.operators.ranking import rank_key
 from tallyguard.operators.sampling import stratified_split
@@ -234,6 +235,15 @@ def a18_throughput_summary(spark, sf_dir):
     return lengths.throughput_summary(table(spark, sf_dir, "documents"), "text", "source")
 
 
+@query("a18_token_throughput")
+def a18_token_throughput(spark, sf_dir):
+    """Requests, prompt and answer tokens of all conversations' turns: the user's ask, the assistant's answer."""
+    turns = table(spark, sf_dir, "conversations")
+    asked = turns.select(F.when(F.col("role") != "assistant", F.col("text")).alias("prompt"),
+                         F.when(F.col("role") == "assistant", F.col("text")).alias("response"))
+    return lengths.throughput_summary(asked, "prompt", "response", counter=token_counter())
+
+
 @query("m2_evaluate", METRICS_SQL)
 def m2_evaluate(spark, sf_dir):
     m = evaluate(parsed_responses(responses(spark, sf_dir))).metrics

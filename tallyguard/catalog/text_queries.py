@@ -11,6 +11,7 @@ from tallyguard.catalog.registry import (LABELLED, RESPONSES, labelled, query, r
 from tallyguard.functions import draws as D
 from tallyguard.functions import prompts as P
 from tallyguard.functions import responses as R
+from tallyguard.functions import tokens as K
 from tallyguard.operators import lengths, metrics, scoring, timewise
 from tallyguard.operators.ranking import rank_key
 from tallyguard.operators.sampling import line_key, stratified_split
@@ -257,6 +258,27 @@ def f17_length_audit(spark, sf_dir):
     return lengths.length_audit(table(spark, sf_dir, "documents"), "text")
 
 
+@query("f17_token_length_audit")
+def f17_token_length_audit(spark, sf_dir):
+    """Lengths of all documents in tokens of the public vocabulary."""
+    return lengths.length_audit(table(spark, sf_dir, "documents"), "text", counter=K.token_counter())
+
+
+@query("f17_token_truncate")
+def f17_token_truncate(spark, sf_dir):
+    """What a training example of at most 2,048 tokens keeps of every document."""
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.length("text").alias("n_chars"), K.token_head("text", lengths.MAX_SEQ_LENGTH).alias("head")).select(
+        "doc_id", "n_chars", F.length("head").alias("kept_chars"), F.md5("head").alias("head"))
+
+
+@query("f16_completion_tokens")
+def f16_completion_tokens(spark, sf_dir):
+    """Tokens without and with loss in every rendered example."""
+    rows = _rendered(spark, sf_dir).select(K.completion_tokens("text", P.RESPONSE_HEADER).alias("n"), "text")
+    return rows.select(F.md5("text").alias("training_text"), "n.prompt_ids", "n.completion_ids")
+
+
 _CLEAN = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
 
 

@@ -6,6 +6,8 @@ retried; different slots of a row are independent.
 
 from __future__ import annotations
 
+import itertools
+import json
 import math
 
 from pyspark.sql import Column
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from tallyguard.functions.columns import as_col
 
 DRAW_RANGE = 16 ** 8
+LISTED_ORDERS = 5_000
 
 
 def draw(key: str | Column, slot: str, seed: int | str = 42) -> Column:
@@ -38,11 +41,15 @@ def sample_without_replacement(values: list[str], n: int, key: str | Column, slo
     """``n`` different values in random order.
 
     One draw is read as n shrinking picks: its leading part picks the first value, the next part one
-    of those left, and so on, whatever the number of values.
+    of those left, and so on, whatever the number of values. Orders listed lexicographically come in
+    just that way, so where they are few the picks are looked up in a constant, which draws once.
     """
     orders = math.perm(len(values), n)
     if orders > DRAW_RANGE:
         raise ValueError(f"{n} of {len(values)} values have more orders than one draw can tell apart")
+    if orders <= LISTED_ORDERS:
+        listed = F.from_json(F.lit(json.dumps(list(itertools.permutations(values, n)))), "array<array<string>>")
+        return F.element_at(listed, (draw(key, slot, seed) % orders).cast("int") + 1)       # the list is folded once
     number = draw(key, slot, seed) % orders
     rest, picks = F.array(*[F.lit(v) for v in values]), []
     for i in range(n):

@@ -134,25 +134,42 @@ def fields_of_score(fields: dict[str, Column], score: Column) -> dict[str, Colum
             "recommended_action": recommended_action(score)}
 
 
-def json_escaped(c: Column) -> Column:
-    """Text with backslashes, double quotes and line ends escaped for JSON."""
-    for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n")):
+# The short escapes of JSON.
+ESCAPES = {"\\": "\\\\", '"': '\\"', "\n": "\\n"}
+RARE_ESCAPES = {"\b": "\\b", "\t": "\\t", "\f": "\\f", "\r": "\\r"}
+RARE = "[\\x00-\\x09\\x0B-\\x1F]"
+
+
+def _replaced(c: Column, escapes: dict[str, str]) -> Column:
+    for plain, escaped in escapes.items():
         c = F.replace(c, F.lit(plain), F.lit(escaped))
     return c
 
 
+def json_escaped(c: Column) -> Column:
+    """Text with backslashes, double quotes and all control signs escaped for JSON.
+
+    Control signs other than line ends are rare; only a text that has one is searched for each.
+    """
+    rare = {chr(i): RARE_ESCAPES.get(chr(i), f"\\u{i:04x}") for i in range(32) if i != 10}
+    return F.when(c.rlike(RARE), _replaced(_replaced(c, ESCAPES), rare)).otherwise(_replaced(c, ESCAPES))
+
+
 def json_text(c: Column) -> Column:
     """A text (or null) as a JSON string token."""
     return F.coalesce(F.concat(F.lit('"'), json_escaped(c), F.lit('"')), F.lit("null"))
 
 
 ITEM_MARK = "\x01"     # stands between list items while the joined text is escaped
+ITEM_BREAK = '",\n    "'
 
 
 def json_list(c: Column) -> Column:
     """A non-empty list of texts as JSON, one item per line. Joined before it is escaped, so no
-    function runs per item."""
-    items = F.replace(json_escaped(F.array_join(c, ITEM_MARK)), F.lit(ITEM_MARK), F.lit('",\n    "'))
+    function runs per item, unless an item has a control sign other than a line end."""
+    quick = F.replace(_replaced(F.array_join(c, ITEM_MARK), ESCAPES), F.lit(ITEM_MARK), F.lit(ITEM_BREAK))
+    slow = F.array_join(F.transform(c, json_escaped), ITEM_BREAK)
+    items = F.when(F.array_join(c, "").rlike(RARE), slow).otherwise(quick)
     return F.concat(F.lit('[\n    "'), items, F.lit('"\n  ]'))
 
 
