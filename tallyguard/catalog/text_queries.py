@@ -19,7 +19,7 @@ from tallyguard.plans.baseline_model import predict, train_baseline
 from tallyguard.plans.evaluation import parsed_responses, score_examples
 from tallyguard.plans.examples import row_to_example
 from tallyguard.session import scratch_path
-from tallyguard.streaming import jobs
+from tallyguard.streaming import jobs, velocity
 
 
 def quoted(text: str) -> str:
@@ -452,3 +452,19 @@ def st2_stream_velocity(spark, sf_dir):
     jobs.run_available(counts, out, scratch_path(spark, "stream-state"))
     back = spark.read.schema(counts.schema).parquet(out)
     return back.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "user_id", "txn_count")
+
+
+@query("st2_stream_txn_counts", """
+SELECT event_id, txn_count, txn_count_24h FROM (
+  SELECT event_id, ts, count(*) OVER (PARTITION BY user_id ORDER BY ts, md5('42|' || CAST(event_id AS VARCHAR))
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS txn_count,
+    count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW) AS txn_count_24h
+  FROM events) WHERE date_trunc('milliseconds', ts) <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 1 HOUR""")
+def st2_stream_txn_counts(spark, sf_dir):
+    """Both counts of every event that is final an hour behind the last one; the sink is read back."""
+    out = scratch_path(spark, "stream-counts")
+    counts = velocity.stream_txn_counts(_event_stream(spark, sf_dir), "user_id", "ts", "event_id", rank_key("event_id"))
+    with velocity.rocksdb_state(spark):
+        jobs.run_available(counts, out, scratch_path(spark, "stream-state"))
+    back = spark.read.schema(counts.schema).parquet(out)
+    return back.select(F.col("id").cast("bigint").alias("event_id"), "txn_count", "txn_count_24h")
