@@ -157,6 +157,15 @@ def j4_knn_self_join(spark, sf_dir):
     return near.select("key", "neighbour", "rank", F.round("distance", 6).alias("distance"))
 
 
+@query("j4_hashed_knn_join")
+def j4_hashed_knn_join(spark, sf_dir):
+    """Neighbours by the random-projection index, of all points."""
+    points = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("string").alias("key"), F.col("embedding").alias("vec"))
+    near = knn_self_join(points, 5, mode="hashed")
+    return near.select("key", "neighbour", "rank", F.round("distance", 6).alias("distance"))
+
+
 @query("f1_parse_ts_or_null", """
 SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS parsed FROM events""")
 def f1_parse_ts_or_null(spark, sf_dir):

@@ -1,11 +1,11 @@
-"""Exact nearest neighbours among the rows of one class.
+"""Nearest neighbours among the rows of one class, exact or through a random-projection index.
 
 Copies of a vector are folded first, so a hot group of copies costs no more than a handful of rows.
 The distinct vectors are assigned to pivots; the triangle inequality tells which cells can hold a
 neighbour of a cell's points, and only those are sent there (the pivot-based kNN join known from
 the literature). The work of a cell is cut into blocks of bounded size on both sides; every block
-reports the best candidates of its query points and a final rank merges them. Nothing is
-approximated and no candidate is dropped.
+reports the best candidates of its query points and a final rank merges them. By default nothing
+is approximated and no candidate is dropped.
 """
 
 from __future__ import annotations
@@ -70,13 +70,18 @@ def _block_function(n: int):
 
 
 def knn_self_join(points: DataFrame, k: int, queries: DataFrame | None = None,
-                  key: str = "key", vec: str = "vec", pivot_share: float = PIVOT_SHARE,
-                  query_block: int = QUERY_BLOCK, search_block: int = SEARCH_BLOCK) -> DataFrame:
+                  key: str = "key", vec: str = "vec", mode: str = "exact", pivot_share: float = PIVOT_SHARE,
+                  query_block: int = QUERY_BLOCK, search_block: int = SEARCH_BLOCK, **index) -> DataFrame:
     """The k nearest other points of each point: (key, neighbour, rank, distance).
 
     ``queries`` restricts the points asked for (column ``key``); the searched points are always
-    all. Equal distances are ordered by the key as text.
+    all. Equal distances are ordered by the key as text. ``mode="hashed"`` looks only into the
+    buckets of a random-projection index (``index`` are the options of ``hashed_blocks``): most of
+    the nearest, at a cost that does not grow with the square of the points. Points for which it
+    meets fewer than k others are searched exactly.
     """
+    if mode not in ("exact", "hashed"):
+        raise ValueError("mode must be 'exact' or 'hashed'")
     n = k + 1                                    # one more, a point may find itself
     folded = stored(points.select(
         F.col(key).cast("string").alias("key"), F.col(vec).cast("array<double>").alias("vec"),
@@ -91,12 +96,22 @@ def knn_self_join(points: DataFrame, k: int, queries: DataFrame | None = None,
     if queries is not None:
         wanted = wanted.join(asked.select("vid").distinct(), "vid", "left_semi")
 
-    blocks_q, blocks_s = _work_blocks(wanted, search, n, pivot_share, query_block, search_block)
-    unit = ["cell", "q_chunk", "s_chunk"]
-    found = (blocks_q.groupBy(*unit).cogroup(blocks_s.groupBy(*unit))
-             .applyInPandas(_block_function(n), "vid string, neighbour string, sq double"))
+    def found(blocks_q: DataFrame, blocks_s: DataFrame) -> DataFrame:
+        unit = ["cell", "q_chunk", "s_chunk"]
+        return (blocks_q.groupBy(*unit).cogroup(blocks_s.groupBy(*unit))
+                .applyInPandas(_block_function(n), "vid string, neighbour string, sq double"))
+
+    if mode == "hashed":
+        near = stored(found(*hashed_blocks(wanted, search, query_block, search_block, **index)).distinct(), "hashed-near")
+        short = stored(wanted.join(near.groupBy("vid").agg(F.count("*").alias("c")).where(F.col("c") >= n), "vid",
+                                   "left_anti"), "short-queries")
+        if not short.isEmpty():
+            rest = found(*_work_blocks(short, search, n, pivot_share, query_block, search_block))
+            near = near.join(short, "vid", "left_anti").union(rest)
+    else:
+        near = found(*_work_blocks(wanted, search, n, pivot_share, query_block, search_block))
     best = Window.partitionBy("vid").orderBy("sq", "neighbour")
-    merged = (found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= n)
+    merged = (near.withColumn("r", F.row_number().over(best)).where(F.col("r") <= n)
               .groupBy("vid").agg(F.array_sort(F.collect_list(
                   F.struct("r", "neighbour", "sq"))).alias("near")))
     # at most k + 1 entries per vector; every copy drops itself and keeps k
@@ -107,6 +122,78 @@ def knn_self_join(points: DataFrame, k: int, queries: DataFrame | None = None,
                     (F.col("p") + 1).alias("rank"), F.sqrt("e.sq").alias("distance")))
 
 
+# --- the random-projection index ----------------------------------------------------------------
+
+BUCKET = 1.25                 # points a bucket is meant to hold, for every square root of the points
+TABLES = 8
+PROBES = 16
+FIT_ROWS = 20_000             # distinct points the projections' medians are taken from
+MOST_BITS = 30
+NEAR_BITS = 8                 # bits with the least margins that probes turn over
+
+
+def probe_codes(margins: np.ndarray, probes: int) -> np.ndarray:
+    """Codes of the ``probes`` buckets nearest to every row of projections less their medians.
+
+    The first is the row's own. The others turn over sets of its NEAR_BITS bits of least margin, in
+    the order of the sum of the squared margins.
+    """
+    bits = margins.shape[1]
+    own = (margins > 0) @ (1 << np.arange(bits, dtype=np.int64))
+    near = min(bits, NEAR_BITS)
+    order = np.argsort(np.abs(margins), axis=1)[:, :near]
+    least = np.take_along_axis(margins ** 2, order, 1)
+    sets = (np.arange(1 << near)[:, None] >> np.arange(near)) & 1
+    best = np.argsort(least @ sets.T, axis=1, kind="stable")[:, :probes]
+    flips = (sets[best] * (1 << order)[:, None, :]).sum(2)
+    return own[:, None] ^ flips
+
+
+def hashed_blocks(wanted: DataFrame, search: DataFrame, query_block: int, search_block: int, tables: int = TABLES,
+                  probes: int = PROBES, bucket: float = BUCKET, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Query and search rows with their work unit, by a multi-probe index of random projections.
+
+    In every table a point's bucket is the signs of random projections less their medians, as many
+    as leave ``bucket`` points for every square root of all to a bucket; the medians are those of at most FIT_ROWS
+    points, all points are in the index. A query visits ``probes`` buckets of each table. A bucket of
+    any size is cut into blocks like a cell of the exact search, so none is capped.
+    """
+    n_search = search.count()
+    bits = min(MOST_BITS, max(0, math.ceil(math.log2(max(1.0, math.sqrt(n_search) / bucket)))))
+    sample = _matrix(search.where("copy = 1").orderBy("vid").limit(FIT_ROWS).toPandas()["vec"])
+    dims = sample.shape[1] if len(sample) else 0
+    directions = np.random.default_rng(seed).normal(size=(tables, dims, bits))
+    medians = np.stack([np.median(sample @ d, axis=0) for d in directions]) if len(sample) else np.zeros((tables, bits))
+
+    def cells(column: str, visits: int):
+        def to_cells(batches):
+            for b in batches:
+                if len(b):
+                    x = _matrix(b[column])
+                    for t in range(tables):
+                        codes = probe_codes(x @ directions[t] - medians[t], visits)
+                        row = np.repeat(np.arange(len(b)), codes.shape[1])
+                        yield b.iloc[row].assign(cell=codes.ravel() + (t << MOST_BITS))
+        return to_cells
+
+    asked = wanted.mapInPandas(cells("q_vec", probes), "vid string, q_vec array<double>, cell long")
+    held = stored(search.select("key", "vec").mapInPandas(cells("vec", 1), "key string, vec array<double>, cell long"),
+                  "hashed-points")
+    visits = wanted.mapInPandas(cells("q_vec", probes), "vid string, q_vec array<double>, cell long").groupBy("cell")
+    plan = (visits.agg(F.ceil(F.count("*") / query_block).cast("int").alias("n_q"))
+            .join(held.groupBy("cell").agg(F.ceil(F.count("*") / search_block).cast("int").alias("n_s")), "cell"))
+    plan = stored(plan, "hashed-plan")
+    blocks_q = (asked.join(plan, "cell")
+                .withColumn("q_chunk", F.pmod(F.xxhash64("vid"), F.col("n_q")).cast("int"))
+                .withColumn("s_chunk", F.explode(F.sequence(F.lit(0), F.col("n_s") - 1)))
+                .select("cell", "q_chunk", "s_chunk", "vid", "q_vec"))
+    blocks_s = (held.join(plan, "cell")
+                .withColumn("s_chunk", F.pmod(F.xxhash64("key"), F.col("n_s")).cast("int"))
+                .withColumn("q_chunk", F.explode(F.sequence(F.lit(0), F.col("n_q") - 1)))
+                .select("cell", "q_chunk", "s_chunk", "key", "vec"))
+    return blocks_q, blocks_s
+
+
 def _work_blocks(wanted: DataFrame, search: DataFrame, n: int, pivot_share: float,
                  query_block: int, search_block: int) -> tuple[DataFrame, DataFrame]:
     """Query and search rows with their work unit (cell, q_chunk, s_chunk)."""

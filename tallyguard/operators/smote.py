@@ -23,12 +23,13 @@ def _back_to_type(value: Column, dtype: T.DataType) -> Column:
 
 
 def smote_rows(minority: DataFrame, key: Column, features: list[str], n_new: int, k: int = 5,
-               seed: int | str = 42) -> DataFrame:
+               seed: int | str = 42, mode: str = "exact") -> DataFrame:
     """``n_new`` synthetic rows between a drawn minority row and one of its k nearest.
 
     Columns: ``_n`` (0-based number), ``_base`` and ``_near`` (rank keys), the features in their
     own types. Other columns of the base row are kept as they are. A missing feature (null or NaN)
-    has no distance and is an error, as is any other number of rows than asked for.
+    has no distance and is an error, as is any other number of rows than asked for. ``mode`` is that of
+    ``knn_self_join``.
     """
     spark = minority.sparkSession
     missing = minority.agg(*[F.count_if(present(minority, c).isNull()).alias(f"c{i}")
@@ -55,7 +56,7 @@ def smote_rows(minority: DataFrame, key: Column, features: list[str], n_new: int
         draw_unit(number, "smote-step", seed).alias("_u"))
     based = stored(draws.join(ranked, "_idx"), "smote-bases")
     near = knn_self_join(ranked.select(F.col("_rank_key").alias("key"), F.col("_vec").alias("vec")), k,
-                         queries=based.select(F.col("_rank_key").alias("key")))
+                         queries=based.select(F.col("_rank_key").alias("key")), mode=mode)
     picked = based.join(near.select(F.col("key").alias("_rank_key"), F.col("rank").alias("_rank"),
                                     F.col("neighbour").alias("_near")), ["_rank_key", "_rank"])
     with_near = picked.join(

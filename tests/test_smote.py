@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyguard.operators import neighbours as N
 from tallyguard.operators.neighbours import best_in_block, knn_self_join
 from tallyguard.operators.ranking import rank_key
 from tallyguard.operators.smote import resample, smote_rows
@@ -79,3 +80,48 @@ def test_resample_reaches_the_targets(spark):
     assert out.select("k").distinct().count() == 300
     skipped, plan = resample(df.withColumn("label", (F.col("a") < 500).cast("int")), "k")
     assert skipped.count() == 1_060 and not plan.undersample
+
+
+def recall(got, want):
+    return np.mean([len(set(got[k]) & set(v)) / len(v) for k, v in want.items()])
+
+
+@pytest.mark.parametrize("dims, clusters", [(6, 0), (24, 0), (24, 30)])
+def test_hashed_neighbours_are_most_of_the_nearest(spark, dims, clusters):
+    rng = np.random.default_rng(dims + clusters)
+    x = rng.normal(size=(4000, dims))
+    if clusters:
+        x += 4 * rng.normal(size=(clusters, dims))[rng.integers(0, clusters, len(x))]
+    x[:700] = x[0]                                          # a large group of copies
+    keys = [f"k{i:04d}" for i in range(len(x))]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in zip(keys, x)], "key string, vec array<double>").repartition(6)
+    asked = df.where("key LIKE '%7'")
+    got = {}
+    rows = knn_self_join(df, 5, queries=asked, mode="hashed", bucket=0.5).collect()
+    for r in rows:
+        got.setdefault(r["key"], {})[r["rank"]] = r["neighbour"]
+    want = {k: v for k, v in brute_force(keys, x, 5).items() if k.endswith("7")} if dims == 6 else None
+    if want is None:
+        exact = {}
+        for r in knn_self_join(df, 5, queries=asked).collect():
+            exact.setdefault(r["key"], {})[r["rank"]] = r["neighbour"]
+        want = {k: list(v.values()) for k, v in exact.items()}
+    assert got.keys() == want.keys() and all(sorted(v) == [1, 2, 3, 4, 5] for v in got.values())
+    assert recall({k: list(v.values()) for k, v in got.items()}, want) >= 0.9
+
+
+def test_hashed_search_finds_k_even_in_empty_buckets(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 4))
+    keys = [f"k{i:03d}" for i in range(len(x))]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in zip(keys, x)], "key string, vec array<double>")
+    rows = knn_self_join(df, 5, mode="hashed", tables=1, probes=1, bucket=0.01).collect()
+    assert len(rows) == 1500
+    with pytest.raises(ValueError):
+        knn_self_join(df, 5, mode="quick")
+
+
+def test_probes_are_the_nearest_buckets():
+    margins = np.array([[0.5, -0.1, 2.0], [-1.0, 0.2, 0.3]])
+    assert N.probe_codes(margins, 4).tolist() == [[5, 7, 4, 6], [6, 4, 2, 0]]
+    assert N.probe_codes(np.zeros((2, 0)), 9).tolist() == [[0], [0]]
