@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tallyguard.catalog.registry import (EVENT_KEY, LABELLED, labelled, query, sql_draw,
                                          sql_split, table)
 from tallyguard.functions import prompts as P
 from tallyguard.operators import encoding, sampling, timewise
+from tallyguard.operators.groups import transform_groups
 from tallyguard.operators.profiling import numeric_columns
 from tallyguard.operators.ranking import class_cutoffs, rank_key, within_cutoff
 from tallyguard.operators.smote import resample, smote_rows
@@ -30,6 +32,22 @@ def w1_running_txn_count(spark, sf_dir):
     return timewise.running_txn_count(df, "user_id", "ts", event_key()).select("event_id", "txn_count_24h")
 
 
+def _running(batch, seen):
+    """Numbers the rows of an account from ``seen`` on."""
+    n = batch.num_rows
+    numbers = pa.array(range(seen + 1, seen + n + 1), pa.int64())
+    return pa.RecordBatch.from_arrays([batch.column("event_id"), numbers], ["event_id", "txn_count"]), seen + n
+
+
+@query("m6_group_function", """
+SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, md5('42|' || CAST(event_id AS VARCHAR))) AS txn_count
+FROM events""")
+def m6_group_function(spark, sf_dir):
+    """A running count by a function over the ordered rows of every account, a batch at a time."""
+    df = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return transform_groups(df, "user_id", ["ts", event_key()], _running, "event_id long, txn_count long", 0)
+
+
 @query("w2_txn_count_24h", """
 SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts
   RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW) AS txn_count_24h FROM events""")

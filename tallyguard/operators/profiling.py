@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-READ_OUT_VALUES = 10_000         # a value range with about this many distinct values is counted out
+from tallyguard.session import stored
+
+READ_OUT_VALUES = 1_000_000      # a bracket with about this many rows is counted out
 
 
 def class_report(df: DataFrame, alias: str, label: str = "label") -> DataFrame:
@@ -46,68 +48,88 @@ def present(df: DataFrame, c: str) -> Column:
 def column_medians(df: DataFrame, cols: list[str]) -> dict:
     """Exact medians of many columns at once, missing values ignored, midpoint between two.
 
-    All columns share one search over a long table (column, value), summed up inside the tasks
-    first. A round counts what lies below and inside each column's value range and sketches a
-    narrower range around its middle ranks, until a range holds few distinct values; those are
-    counted exactly. Work and task size grow with the columns, not with a column's distinct values.
+    One aggregation makes a mergeable quantile sketch of every column; its grid brackets the middle
+    ranks. Only the values inside the brackets are then counted, in one more pass. Where a bracket
+    would still hold more than READ_OUT_VALUES rows it is sketched again, which narrows it about a
+    hundredfold; where the sketch missed the middle, the bracket is widened. What is brought to the
+    driver is one row.
     """
-    if not cols:
-        return {}
-    pairs = F.array(*[F.struct(F.lit(i).alias("c"), present(df, c).cast("double").alias("v")) for i, c in enumerate(cols)])
-    values = df.select(F.explode(pairs).alias("p")).select("p.c", "p.v").where("v IS NOT NULL")
-    near = [g / GRID for g in range(GRID + 1)]
-    wide = {r["c"]: r for r in values.groupBy("c").agg(
-        F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()}
-    ranks = {c: ((r["n"] + 1) // 2, r["n"] // 2 + 1) for c, r in wide.items()}
-    tries = {c: (r["low"], r["high"]) for c, r in wide.items()}
+    values = {i: present(df, c).cast("double") for i, c in enumerate(cols)}
+    brackets: dict[int, tuple[float, float] | None] = {i: None for i in values}      # still to be sketched
+    slack = dict.fromkeys(values, 2)
+    ranks: dict[int, tuple[int, int]] = {}
     found: dict[int, tuple[float, float]] = {}
-    few: dict[int, tuple[float, float]] = {}
-    while tries:
-        bounds = df.sparkSession.createDataFrame([(c, *r) for c, r in tries.items()], "c int, low double, high double")
-        inside = F.when(F.col("v").between(F.col("low"), F.col("high")), F.col("v"))
-        inner = F.when((F.col("v") > F.col("low")) & (F.col("v") < F.col("high")), F.col("v"))
-        rows = values.join(F.broadcast(bounds), "c").groupBy("c").agg(     # one row a column
-            F.count_if(F.col("v") < F.col("low")).alias("below"), F.count(inside).alias("inside"),
-            F.count_if(F.col("v") == F.col("low")).alias("at_low"), F.count_if(F.col("v") == F.col("high")).alias("at_high"),
-            F.approx_count_distinct(inside).alias("distinct"), F.min(inner).alias("first"), F.max(inner).alias("last"),
-            F.percentile_approx(inside, near, 1_000).alias("grid")).collect()
-        for r in rows:
-            c, (low, high) = r["c"], tries.pop(r["c"])
-            one, two = (k - r["below"] for k in ranks[c])
-            if two <= r["at_low"]:
-                found[c] = (low, low)
-            elif one > r["inside"] - r["at_high"]:
-                found[c] = (high, high)
-            elif r["distinct"] <= READ_OUT_VALUES:
-                few[c] = (low, high)
-            elif one <= r["at_low"]:
-                found[c] = (low, r["first"] if two <= r["inside"] - r["at_high"] else high)
-            elif two > r["inside"] - r["at_high"]:
-                found[c] = (r["last"], high)
+    while brackets:
+        few = {}
+        for i, (n, below, grid) in _sketched(df, values, brackets).items():
+            del brackets[i]
+            if n == 0 and i not in ranks:
+                continue
+            ranks.setdefault(i, ((n + 1) // 2, n // 2 + 1))
+            bracket = _middle(n, below, grid, ranks[i], slack[i])
+            if bracket is None:
+                slack[i] *= 4
+                brackets[i] = None
+            elif bracket[0] == bracket[1] and bracket == (grid[0], grid[-1]):
+                found[i] = bracket
+            elif n * (2 * slack[i] + 2) > READ_OUT_VALUES * GRID and bracket != (grid[0], grid[-1]):
+                brackets[i] = bracket
             else:
-                grid, at, end = r["grid"], int(one / r["inside"] * GRID), int(two / r["inside"] * GRID)
-                tries[c] = (max(grid[max(at - 2, 0)], r["first"]), min(grid[min(end + 3, GRID)], r["last"]))
-    if few:
-        found.update(_counted_ranks(values, few, ranks))
+                few[i] = bracket
+        for i, middle in _counted_ranks(df, values, few, ranks).items():
+            if middle is None:
+                slack[i] *= 4
+                brackets[i] = None
+            else:
+                found[i] = middle
     return {c: None if i not in found else sum(found[i]) / 2 for i, c in enumerate(cols)}
 
 
-GRID = 200   # quantile grid inside a range; each pass narrows a range about fortyfold
+SKETCH_SIZE = 2_048      # rank error of about a quarter of a per cent
+GRID = 400               # steps of a sketch's quantile grid
+
 
+def _sketched(df: DataFrame, values: dict[int, Column], brackets: dict) -> dict[int, tuple[int, int, list[float]]]:
+    """(rows inside, rows below, quantile grid) of every column's bracket, from one aggregation."""
+    grid = F.array(*[F.lit(g / GRID) for g in range(GRID + 1)])
+    sums, shown = [], []
+    for i, bracket in brackets.items():
+        v = values[i]
+        inside = v if bracket is None else F.when(v.between(*bracket), v)
+        below = F.lit(0) if bracket is None else F.count_if(v < bracket[0])
+        sums += [F.count(inside).alias(f"n{i}"), below.alias(f"b{i}"),
+                 F.kll_sketch_agg_double(inside, SKETCH_SIZE).alias(f"s{i}")]
+        shown += [f"n{i}", f"b{i}", F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", grid)).alias(f"g{i}")]
+    row = df.agg(*sums).select(*shown).first()
+    return {i: (row[f"n{i}"], row[f"b{i}"], row[f"g{i}"]) for i in brackets}
 
-def _counted_ranks(values: DataFrame, ranges: dict, ranks: dict) -> dict[int, tuple[float, float]]:
-    """Both middle values of columns whose ranges hold few distinct values."""
-    wanted = values.sparkSession.createDataFrame(
-        [(c, *r, *ranks[c]) for c, r in ranges.items()], "c int, low double, high double, one long, two long")
-    joined = values.join(F.broadcast(wanted), "c")
-    below = joined.groupBy("c").agg(F.count_if(F.col("v") < F.col("low")).alias("below"))
-    counts = (joined.where("v BETWEEN low AND high").groupBy("c", "v", "one", "two").agg(F.count("*").alias("n"))
-              .join(F.broadcast(below), "c"))
-    upto = F.col("below") + F.sum("n").over(Window.partitionBy("c").orderBy("v"))
-    rows = counts.withColumn("upto", upto).groupBy("c").agg(
+
+def _middle(n: int, below: int, grid: list[float] | None, ranks: tuple[int, int], slack: int) -> tuple[float, float] | None:
+    """The part of the grid around the middle ranks; None where they are not inside."""
+    one, two = (k - below for k in ranks)
+    if one < 1 or two > n:
+        return None
+    return grid[max(0, int(one / n * GRID) - slack)], grid[min(GRID, int(two / n * GRID) + 1 + slack)]
+
+
+def _counted_ranks(df: DataFrame, values: dict[int, Column], ranges: dict, ranks: dict) -> dict[int, tuple | None]:
+    """Both middle values of the columns whose ``ranges`` are given; None where a range misses one."""
+    if not ranges:
+        return {}
+    seen = Observation()
+    below = df.observe(seen, *[F.count_if(values[i] < low).alias(f"b{i}") for i, (low, _) in ranges.items()])
+    inside = F.array_compact(F.array(*[
+        F.when(values[i].between(low, high), F.struct(F.lit(i).alias("c"), values[i].alias("v")))
+        for i, (low, high) in ranges.items()]))
+    counts = stored(below.select(F.explode(inside).alias("p")).groupBy("p.c", "p.v").agg(F.count("*").alias("n")), "counts")
+    rows = [(i, *(k - seen.get[f"b{i}"] for k in ranks[i])) for i in ranges]
+    wanted = df.sparkSession.createDataFrame(rows, "c int, one long, two long")
+    upto = F.sum("n").over(Window.partitionBy("c").orderBy("v"))
+    middle = counts.withColumn("upto", upto).join(F.broadcast(wanted), "c").groupBy("c", "one").agg(
         F.min(F.when(F.col("upto") >= F.col("one"), F.col("v"))).alias("a"),
         F.min(F.when(F.col("upto") >= F.col("two"), F.col("v"))).alias("b")).collect()
-    return {r["c"]: (r["a"], r["b"]) for r in rows}
+    found = {r["c"]: (r["a"], r["b"]) for r in middle if r["one"] >= 1 and r["b"] is not None}
+    return {i: found.get(i) for i in ranges}
 
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -10,10 +10,12 @@ from tallyguard.operators import cleaning, encoding, profiling, scaling, timewis
 from tallyguard.operators.ranking import rank_key
 
 
-@pytest.mark.parametrize("few", [10_000, 20, 1])
-def test_medians(spark, few, monkeypatch):
-    """Even and odd counts, missing values, a hot value, one value, no value; one and many rounds."""
+@pytest.mark.parametrize("few, sketch", [(10_000, 2_048), (20, 2_048), (1, 2_048), (50, 8)])
+def test_medians(spark, few, sketch, monkeypatch):
+    """Even and odd counts, missing values, a hot value, one value, no value; one and many rounds, and a
+    sketch so rough that its brackets miss the middle."""
     monkeypatch.setattr(profiling, "READ_OUT_VALUES", few)
+    monkeypatch.setattr(profiling, "SKETCH_SIZE", sketch)
     nan = float("nan")
     rows = [(float(i * i % 1_009), 5.0 if i % 3 else float(i), None if i % 2 else float(i), i % 4, None,
              nan if i % 5 == 0 else 1.0 * (i % 97)) for i in range(3_000)]
