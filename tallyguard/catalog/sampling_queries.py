@@ -196,6 +196,34 @@ def o8_length_bucketing(spark, sf_dir):
     return sampling.group_by_length(docs, "n_chars", rank_key("doc_id")).select("doc_id", "length_bucket")
 
 
+BATCHES_SQL = """
+WITH h AS (SELECT doc_id, CAST(n_chars AS BIGINT) AS n, md5('42|length-batches|' || md5('42|' || CAST(doc_id AS VARCHAR))) AS h
+           FROM documents),
+m AS (SELECT *, CAST('0x' || substr(h, 1, 12) AS BIGINT) %
+        (SELECT greatest(1, CAST(ceil(sum(n) / (20 * 16384.0::DOUBLE)) AS BIGINT)) FROM h) AS mega FROM h),
+b AS (SELECT *, CAST(floor((sum(n) OVER (PARTITION BY mega ORDER BY n DESC, h ROWS UNBOUNDED PRECEDING) - n) / 16384) AS BIGINT)
+        AS batch FROM m),
+p AS (SELECT doc_id, mega, batch, row_number() OVER (PARTITION BY mega, batch ORDER BY n DESC, h) - 1 AS place,
+        max(n) OVER (PARTITION BY mega, batch) AS longest, max(n) OVER (PARTITION BY mega, batch) - n AS padding FROM b)"""
+
+
+def _batches(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return sampling.length_batches(docs, "n_chars", rank_key("doc_id"), 16_384, 20)
+
+
+@query("o8_length_batches", f"{BATCHES_SQL} SELECT doc_id, mega, batch, CAST(place AS INTEGER) AS place, longest, padding FROM p")
+def o8_length_batches(spark, sf_dir):
+    """Every document's batch and place, in mega-batches of about 20 batches of 16,384 characters."""
+    return _batches(spark, sf_dir).drop("n_chars")
+
+
+@query("o8_padding_report", f"""{BATCHES_SQL}
+SELECT count(*) FILTER (place = 0) AS batches, count(*) AS rows, round(sum(padding) / sum(longest)::DOUBLE, 6) AS padding_share FROM p""")
+def o8_padding_report(spark, sf_dir):
+    return sampling.padding_report(_batches(spark, sf_dir))
+
+
 @query("u1_concat", UNDERSAMPLE_SQL)
 def u1_concat(spark, sf_dir):
     """All fraud rows and an equally seeded legit sample, put together by union."""

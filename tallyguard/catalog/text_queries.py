@@ -15,7 +15,7 @@ from tallyguard.functions import tokens as K
 from tallyguard.operators import lengths, metrics, scoring, timewise
 from tallyguard.operators.ranking import rank_key
 from tallyguard.operators.sampling import line_key, stratified_split
-from tallyguard.plans.baseline_model import predict, train_baseline
+from tallyguard.plans.baseline_model import predict, train_baseline, train_newton
 from tallyguard.plans.evaluation import parsed_responses, score_examples
 from tallyguard.plans.examples import row_to_example
 from tallyguard.session import scratch_path
@@ -382,6 +382,41 @@ def m3_train_baseline(spark, sf_dir):
     return m.select("tn", "fp", "fn", "tp", *[F.round(c, 4).alias(c) for c in ("f1", "precision", "recall", "mcc")])
 
 
+def _newton_step(b0: str, b1: str, b2: str) -> str:
+    """SQL of one Newton step of three weights, by the rule of determinants."""
+    a = [["a00", "a01", "a02"], ["a01", "a11", "a12"], ["a02", "a12", "a22"]]
+
+    def det(m):
+        return (f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]}) - {m[0][1]} * ({m[1][0]} * {m[2][2]} - "
+                f"{m[1][2]} * {m[2][0]}) + {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))")
+
+    swapped = [[[f"g{i}" if j == k else a[i][j] for j in range(3)] for i in range(3)] for k in range(3)]
+    return ", ".join(f"{b} - {det(m)} / {det(a)}" for b, m in zip((b0, b1, b2), swapped))
+
+
+NEWTON_SQL = f"""
+WITH RECURSIVE e AS (SELECT label AS y, value / 100 AS x1, CAST(event_type = 'error' AS DOUBLE) AS x2 FROM {LABELLED}),
+e2 AS (SELECT *, (SELECT count(*) FROM e) / (2.0::DOUBLE * (SELECT count(*) FROM e o WHERE o.y = e.y)) AS w FROM e),
+t AS (SELECT 0 AS i, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 UNION ALL
+  SELECT i + 1, {_newton_step('b0', 'b1', 'b2')} FROM (
+    SELECT i, b0, b1, b2, sum(d) AS g0, sum(d * x1) + b1 AS g1, sum(d * x2) + b2 AS g2, sum(h) AS a00, sum(h * x1) AS a01,
+      sum(h * x2) AS a02, sum(h * x1 * x1) + 1 AS a11, sum(h * x1 * x2) AS a12, sum(h * x2 * x2) + 1 AS a22
+    FROM (SELECT *, w * (p - y) AS d, w * p * (1 - p) AS h FROM (
+      SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM t, e2 WHERE i < 20))
+    GROUP BY i, b0, b1, b2))
+SELECT unnest(['intercept', 'value', 'is_error']) AS term, round(unnest([b0, b1, b2]), 6) AS weight FROM t WHERE i = 20"""
+
+
+@query("m3_newton_baseline", NEWTON_SQL)
+def m3_newton_baseline(spark, sf_dir):
+    """Weights of the regression on two features, from all events."""
+    df = labelled(spark, sf_dir).select("label", (F.col("value") / 100).alias("value"),
+                                        (F.col("event_type") == "error").cast("int").alias("is_error"))
+    model = train_newton(df, ["value", "is_error"])
+    return spark.createDataFrame([("intercept", model.intercept), *zip(model.features, model.weights)],
+                                 "term string, weight double").select("term", F.round("weight", 6).alias("weight"))
+
+
 @query("m4_synthetic_transactions", f"""
 SELECT event_id AS key,
   round(sqrt(-2 * ln((a1 + 1) / 4294967296.0::DOUBLE)) * cos(2 * pi() * (b1 / 4294967296.0::DOUBLE)), 3) + 0.0::DOUBLE AS amount_scaled,

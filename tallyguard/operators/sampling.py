@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyguard.operators.ranking import DEFAULT_SEED, class_cutoffs, within_cutoff
@@ -157,3 +157,34 @@ def group_by_length(df: DataFrame, length: str, key: Column, partitions: int | N
     ranged = (ranged.repartitionByRange(partitions, length, "_k") if partitions
               else ranged.repartitionByRange(length, "_k"))
     return ranged.sortWithinPartitions(length, "_k").drop("_k")
+
+
+def length_batches(df: DataFrame, length: str, key: Column, budget: int, mega: int = 50, seed: int | str = 42) -> DataFrame:
+    """Training batches of similar lengths in random order: columns mega, batch, place, longest and padding.
+
+    Rows are dealt by a seeded hash of their key into mega-batches of about ``mega`` batches, so what
+    is trained together changes with the seed; inside one they are sorted from the longest, and a new
+    batch begins where the lengths so far pass a multiple of ``budget``. ``place`` counts from 0 in a
+    batch, ``longest`` is the length its rows are padded to, ``padding`` what the row needs for that.
+    The mega-batches are even whatever the lengths are, and each is one window; a null length is 0.
+    """
+    size = F.coalesce(F.col(length), F.lit(0)).cast("bigint")
+    hashed = F.md5(F.concat(F.lit(f"{seed}|length-batches|"), key))
+    rows = df.withColumns({"_size": size, "_hash": hashed})
+    total = df.agg(F.sum(size)).first()[0] or 0
+    count = max(1, -(-total // (mega * budget)))
+    dealt = rows.withColumn("mega", F.conv(F.substring("_hash", 1, 12), 16, 10).cast("bigint") % count)
+    order = Window.partitionBy("mega").orderBy(F.desc("_size"), "_hash")
+    before = F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_size")
+    cut = dealt.withColumn("batch", F.floor(before / F.lit(budget)).cast("bigint"))
+    own = Window.partitionBy("mega", "batch")
+    place = F.row_number().over(own.orderBy(F.desc("_size"), "_hash")) - 1
+    return (cut.withColumns({"place": place, "longest": F.max("_size").over(own)})
+            .withColumn("padding", F.col("longest") - F.col("_size")).drop("_size", "_hash"))
+
+
+def padding_report(batches: DataFrame) -> DataFrame:
+    """Batches, rows, and the share of padding in all that ``length_batches`` lays out."""
+    return batches.agg(
+        F.count_if(F.col("place") == 0).alias("batches"), F.count("*").alias("rows"),
+        F.round(F.sum("padding") / F.sum("longest"), 6).alias("padding_share"))
