@@ -183,11 +183,38 @@ def test_terms_far_off_and_rare_values(spark):
     assert clean[0] == texts[0] and not any(w in t.lower() for t in clean.values() for w in ("quillon", "张伟", "smith"))
 
 
+def test_copied_texts_disclose_nothing(spark):
+    rng = random.Random(8)
+    fill = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(60)]
+    rare = [f"{a}{b}{c}" for a in ("wo", "zu", "ky", "vi", "xa", "pe") for b in ("rn", "st", "ll", "mp", "tt", "ng")
+            for c in ("ix", "om", "ut", "aw", "yl")]
+    texts = [" ".join(rng.choices(fill, k=40)) for _ in range(300)]
+    for i in range(8):                                   # near copies of one text, and a passage in unlike texts
+        texts.append(" ".join([*rare[:90], rng.choice(fill), "Mail copied.one@mail.example.com"]))
+        texts.append(" ".join([*rng.choices(fill, k=40), *rare[90:150], "+1 555 000 9876", *rng.choices(fill, k=40)]))
+    named = len(texts)
+    for i in range(4):
+        texts.append(" ".join([*rng.choices(fill, k=20), "Ottoline", "o.line@mail.example.com", *rng.choices(fill, k=9)]))
+    rows = {r.doc_id: r for r in sanitise.personal_data(docs_of(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        added = [x.split(":") for x in rows[i].spans.split(",") if x.split(":")[0] in sanitise.ACTIONS]
+        assert {t[int(a):int(b)] for _, a, b in added} == ({"Ottoline"} if i >= named else set())
+
+
+def test_sanitised_keeps_columns_of_any_name(spark):
+    texts = ["x a.b@c.de y", None, "", "plain"]
+    df = docs_of(spark, texts).withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in ("_row", "row_key", "_key", "key", "marks")})
+    rows = {r.doc_id: r for r in sanitise.sanitised(df).collect()}
+    assert [rows[i].text for i in range(4)] == ["x [email] y", None, "", "plain"]
+    assert all(r[c] == f"{c}{i}" for i, r in rows.items() for c in ("_row", "row_key", "_key", "key", "marks"))
+
+
 def test_term_places(spark):
     texts = ["é bc " * 700, "", "a", "xy", " xy1zz ", "10.0.0.1 ab c.d@e.fg hi +1 555 000 1234 jk"]
     text = F.col("text")
+    outside = sanitise.without_spans(text, sanitise.base_spans(text))
     df = docs_of(spark, texts).select("doc_id", sanitise.term_places(
-        sanitise.without_spans(text, sanitise.base_spans(text))).alias("found"))
+        outside, F.array_distinct(sanitise.terms_of(outside))).alias("found"))
     got = {r.doc_id: [tuple(x) for x in r.found] for r in df.collect()}
     expected = [[(m[0], *m.span()) for m in re.finditer(r"[^\W\d_]{2,}", t)] for t in texts[:5]]
     assert [got[i] for i in range(5)] == expected
