@@ -18,11 +18,11 @@ from tallyguard.session import stored
 
 CAPACITY = 1024
 END_ID = 2
-ROUNDS = 12
-RATE = 1e-2
-SLACK = 1e-3
-ROUNDING = (1.0, 0.9, 0.75, 0.5, 0.25)
-SHARE = 0.1
+RUNS = ((200, 0.02), (64, 0.1))
+"""Rounds that all tokens are dealt to, and the rate at which a covered length loses weight."""
+BOUND_EVERY = 8
+ROUNDING = (1.0, 0.9, 0.75, 0.5, 0.25, 0.0)
+LEAST = 1e-9
 BUCKETS = 256
 TOKEN_SLICE = 1 << 21
 
@@ -79,35 +79,59 @@ def config_from(first: int, took: np.ndarray) -> dict[int, int]:
     return config
 
 
-def fractional_plan(counts: np.ndarray, rounds: int, rate: float) -> list[tuple[dict[int, int], float]]:
-    """Approximate solution of min sum x, sum a_cl x_c >= n_l by multiplicative weights.
+def fractional_plan(counts: np.ndarray, rounds: int, rate: float) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """(columns, bound): an approximate solution of min sum x, sum a_cl x_c >= n_l by multiplicative weights.
 
     A length's weight, its price in the dual, begins as its share of a sequence. Each round prices
-    all configurations by one knapsack table and, longest first piece first, gives the best ones a
-    share of what their pieces still need; covered lengths then lose weight.
+    all configurations by one knapsack table of what is left and, longest first piece first, takes
+    the best ones as far as their pieces reach, until a ``rounds``-th of all tokens is dealt. Lengths
+    then lose weight by the share of their demand that was covered, so what is in short supply is
+    left for the sequences that nothing else fills. The columns cover every piece; ``bound`` is the
+    best dual value of the weights met, which no solution can go below.
     """
     capacity = len(counts) - 1
-    weight = np.where(counts > 0, np.arange(capacity + 1) / capacity, 0)
+    sizes = np.arange(capacity + 1)
+    weight = np.where(counts > 0, sizes / capacity, 0)
     left = counts.astype(float)
+    goal = float(counts @ sizes) / rounds
     found: dict[tuple, float] = {}
-    for _ in range(rounds):
-        value = np.where(left > 0.5, weight, 0)
-        best, took = price(value)
-        top = best[capacity]
-        if not top:
-            break
-        for first in np.flatnonzero(value > 0)[::-1]:
-            if left[first] <= 0.5 or value[first] + best[capacity - first] < (1 - SLACK) * top:
-                continue
+    bound, turn = 0.0, 0
+    while (left > 0).any():
+        if turn % BOUND_EVERY == 0:
+            bound = max(bound, float(counts @ weight) / price(weight)[0][capacity])
+        turn += 1
+        _, took = price(np.where(left > 0, weight, 0))
+        before, dealt = left.copy(), 0.0
+        for first in np.flatnonzero(left)[::-1]:
             config = config_from(int(first), took)
-            take = min(left[k] / a for k, a in config.items()) * SHARE
-            if take > 0:
-                key = tuple(sorted(config.items()))
-                found[key] = found.get(key, 0.0) + take
-                for k, a in config.items():
-                    left[k] -= a * take
-        weight *= np.exp(-rate * (1 - left / np.maximum(counts, 1)))
-    return [(dict(k), x) for k, x in found.items()]
+            take = min(left[k] / a for k, a in config.items())
+            if take <= 0:                                             # a piece of it has run out in this round
+                continue
+            key = tuple(sorted(config.items()))
+            found[key] = found.get(key, 0.0) + take
+            for k, a in config.items():
+                left[k] = left[k] - a * take if left[k] - a * take > LEAST else 0
+                dealt += k * a * take
+            if dealt >= goal:
+                break
+        weight *= np.exp(-rate * (before - left) / np.maximum(counts, 1))
+    return [(dict(k), x) for k, x in found.items()], bound
+
+
+def whole_part(counts: np.ndarray, columns: list[tuple[dict[int, int], float]], part: float) -> tuple[Plan, np.ndarray]:
+    """(plan, pieces left): ``part`` of every column in whole sequences; what rounding cuts off goes on to the next."""
+    capacity = len(counts) - 1
+    left = counts.astype(np.int64).copy()
+    plan: Plan = []
+    carry = 0.0
+    for config, x in sorted(columns, key=lambda c: (capacity - sum(k * a for k, a in c[0].items()), -c[1])):
+        use = min(int(carry + x * part + LEAST), *(int(left[k]) // a for k, a in config.items()))
+        carry = min(carry + x * part - use, 1.0)
+        if use:
+            plan.append((config, use))
+            for k, a in config.items():
+                left[k] -= a * use
+    return plan, left
 
 
 def best_fit(counts: np.ndarray, plan: Plan) -> Plan:
@@ -139,20 +163,17 @@ def best_fit(counts: np.ndarray, plan: Plan) -> Plan:
     return [x for rows in by_room for x in rows]
 
 
-def integral_plan(counts: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> Plan:
-    """Whole sequences: parts of the fractional plan rounded down, the rest by best fit; the shortest outcome."""
-    columns = sorted(fractional_plan(counts, rounds, rate), key=lambda c: -c[1])
+def integral_plan(counts: np.ndarray, runs: tuple[tuple[int, float], ...] = RUNS) -> Plan:
+    """Whole sequences: the fractional plans rounded, the rest by best fit; the shortest outcome.
+
+    The last part is 0, best fit alone, so that the plan never needs more sequences than that.
+    """
+    plans = [fractional_plan(counts, rounds, rate)[0] for rounds, rate in runs]
     outcomes = []
     for part in ROUNDING:
-        left = counts.astype(np.int64).copy()
-        plan: Plan = []
-        for config, x in columns:
-            use = min(int(x * part), *(int(left[k]) // a for k, a in config.items()))
-            if use:
-                plan.append((config, use))
-                for k, a in config.items():
-                    left[k] -= a * use
-        outcomes.append(best_fit(left, plan))
+        for columns in plans:
+            plan, left = whole_part(counts, columns, part)
+            outcomes.append(best_fit(left, plan))
     return min(outcomes, key=lambda plan: sum(n for _, n in plan))
 
 

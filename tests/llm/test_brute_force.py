@@ -335,6 +335,46 @@ def test_packing(spark):
     assert len(sequences) <= -(-sum(map(len, ids.values())) // 1024) + 3
 
 
+def test_program_carries_the_plan():
+    rng = np.random.default_rng(4)
+    size = np.arange(257)
+    text_like = np.bincount(np.minimum(rng.lognormal(4.2, 0.9, 6000).astype(int) + 1, 256), minlength=257)
+    halves = np.bincount(rng.integers(70, 257, 5000), minlength=257)
+    few = np.bincount(rng.integers(1, 257, 40), minlength=257) * 100
+    for counts, near in ((text_like, 1.005), (halves, 1.2), (few, None)):     # few lengths: volume is no tight bound
+        alone = sum(n for _, n in packing.best_fit(counts, []))
+        assert sum(n for _, n in packing.integral_plan(counts)) <= alone
+        for rounds, rate in packing.RUNS:
+            columns, bound = packing.fractional_plan(counts, rounds, rate)
+            made = np.zeros(257)
+            for config, x in columns:
+                assert x > 0 and sum(k * a for k, a in config.items()) <= 256
+                for k, a in config.items():
+                    made[k] += a * x
+            assert np.allclose(made, counts)
+            value = sum(x for _, x in columns)
+            assert bound <= value + 1e-6 and value <= (near * bound if near else 1.02 * alone)
+            assert bound <= alone + 1e-6
+            _, left = packing.whole_part(counts, columns, 1.0)
+            assert left @ size <= 0.1 * (counts @ size)
+
+
+def test_knapsack_prices():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        value = np.where(rng.random(13) < 0.5, rng.random(13), 0.0)
+        value[0] = 0
+        best, took = packing.price(value)
+        plain = [0.0] * 13
+        for room in range(1, 13):
+            plain[room] = max([plain[room - 1], *(plain[room - k] + value[k] for k in range(1, room + 1) if value[k])])
+        assert np.allclose(best, plain)
+        for first in np.flatnonzero(value):
+            config = packing.config_from(int(first), took)
+            assert sum(k * a for k, a in config.items()) <= 12
+            assert np.isclose(sum(value[k] * a for k, a in config.items()), value[first] + plain[12 - first])
+
+
 def test_plan_covers_every_piece():
     rng = np.random.default_rng(3)
     for counts in (np.bincount(rng.integers(1, 65, 5000), minlength=65), np.bincount([64, 1], minlength=65),
