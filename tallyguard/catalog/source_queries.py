@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,9 +141,10 @@ def s7_write_jsonl(spark, sf_dir):
     sinks.write_jsonl(chat, path, rank_key(F.col("messages")[0]["content"]))
     read = files.jsonl_scan(spark, path).select(
         "metadata.split", "metadata.label", P.first_user_content("messages").alias("event"),
-        F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"))
-    order = Window.partitionBy("split").orderBy("file", "line")
-    return read.select("split", "event", "label", F.row_number().over(order).alias("position"))
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"))
+    return files.numbered_lines(read, "split", "file", "start", "line", "position").select(
+        "split", "event", "label", "position")
 
 
 METRICS_SQL = f"""

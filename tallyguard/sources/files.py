@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,6 +86,24 @@ def jsonl_pair(spark: SparkSession, train: str, validation: str,
             .unionByName(jsonl_scan(spark, validation, schema).withColumn("split", F.lit("validation"))))
 
 
+def numbered_lines(lines: DataFrame, group: str, file: str, start: str, line: str, out: str) -> DataFrame:
+    """Number the lines of every group from 1, in the order of file name and place in the file.
+
+    ``start`` is where in its file the piece begins that was read in one go, ``line`` grows within a
+    piece. Lines are counted a piece at a time; only the pieces are ordered as a whole.
+    """
+    piece = [group, file, start]
+    before = Window.partitionBy(group).orderBy(file, start).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = lines.groupBy(*piece).agg(F.count("*").alias("n"))
+    # one row for a piece of a file, which has as many bytes as a task reads
+    ahead = F.broadcast(sizes.select(F.col(group).alias("_group"), F.col(file).alias("_file"), F.col(start).alias("_start"),
+                                     F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before")))
+    numbered = lines.withColumn(out, F.row_number().over(Window.partitionBy(*piece).orderBy(line)))
+    here = F.col(group).eqNullSafe(F.col("_group")) & (F.col(file) == F.col("_file")) & (F.col(start) == F.col("_start"))
+    return (numbered.join(ahead, here).withColumn(out, (F.col(out) + F.col("_before")).cast("int"))
+            .drop("_group", "_file", "_start", "_before"))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path exists on its file system."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
