@@ -11,6 +11,7 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 WINDOW = 1 << 18
 """Characters split at once."""
-MOST_KNOWN = 1_000_000
-"""Pre-tokens one worker remembers; then it starts afresh, with the same results."""
+MOST_KNOWN, LONGEST_KNOWN = 200_000, 64
+"""Pre-tokens one worker remembers, and their characters; then it starts afresh, with the same results."""
+PART = 256
+"""Texts that are Python strings at once."""
 
 
 def default_vocabulary() -> str:
@@ -44,9 +47,11 @@ class Encoder(dict):
         self.sizes: dict[int, int] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= MOST_KNOWN:
-            self.clear()
-        found = self[piece] = tuple(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        found = tuple(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        if len(piece) <= LONGEST_KNOWN:
+            if len(self) >= MOST_KNOWN:
+                self.clear()
+            self[piece] = found
         return found
 
     def pieces(self, text: str) -> Iterator[list[str]]:
@@ -108,40 +113,35 @@ def _column(text: str | Column) -> Column:
     return F.col(text) if isinstance(text, str) else text
 
 
+def _each(path: str | None, kind: str, type: pa.DataType, fn):
+    """A column function that gives ``fn(encoder, text)`` of every text, PART texts at a time."""
+    def found(texts):
+        own = encoder(path)
+        for batch in texts:
+            parts = [pa.array([fn(own, t) for t in batch.slice(lo, PART).to_pylist()], type) for lo in range(0, len(batch), PART)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], type)
+
+    found.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(found, kind)
+
+
 def token_counter(path: str | None = None):
     """A function from a text column to its number of tokens, for ``length_audit`` and ``throughput_summary``.
 
     ``path`` is a vocabulary file that every executor can read; null and empty texts have none.
     """
-    @F.pandas_udf("long")
-    def counted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = encoder(path)
-        for part in texts:
-            yield part.map(own.count).astype("int64")
-
+    counted = _each(path, "long", pa.int64(), lambda own, t: own.count(t))
     return lambda text: counted(_column(text))
 
 
 def token_ids(text: str | Column, path: str | None = None, limit: int | None = None) -> Column:
     """The ids of a text, or its first ``limit`` ones; null and empty texts have none."""
-    @F.pandas_udf("array<int>")
-    def found(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = encoder(path)
-        for part in texts:
-            yield part.map(lambda t: own.ids(t, limit))
-
-    return found(_column(text))
+    return _each(path, "array<int>", pa.list_(pa.int32()), lambda own, t: own.ids(t, limit))(_column(text))
 
 
 def token_head(text: str | Column, limit: int, path: str | None = None) -> Column:
     """A text cut to what lies in its first ``limit`` tokens, whole characters only; null stays null."""
-    @F.pandas_udf("string")
-    def cut(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = encoder(path)
-        for part in texts:
-            yield part.map(lambda t: None if t is None else own.head(t, limit))
-
-    return cut(_column(text))
+    return _each(path, "string", pa.string(), lambda own, t: None if t is None else own.head(t, limit))(_column(text))
 
 
 def completion_tokens(text: str | Column, header: str, path: str | None = None) -> Column:
