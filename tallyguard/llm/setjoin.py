@@ -31,9 +31,12 @@ CANDIDATE_BITS = 25
 HASH_BITS = 46
 BLOCK = 1 << 12
 PAIR_BLOCK = 1 << 18
-PREFIX_LANES, LANES = 2, 8
-"""64-bit parity words that travel with prefix rows, and of the sketches that pairs are sifted by."""
-SALTS = 32
+LANES = 8
+"""64-bit parity words of the sketches that pairs are sifted by."""
+ROUNDS = 2
+"""Passes over the texts by which the prefix rows go over the network."""
+PACK_ROWS, BUCKET_ROWS = 1 << 19, 1 << 17
+"""Prefix rows that a task sorts into buckets at a time, and rows of a bucket."""
 HOT_LEVEL = 40
 """Level from which an element (a million occurrences or more) is dealt over several tasks."""
 
@@ -229,42 +232,87 @@ def parities(codes: np.ndarray, first: np.ndarray, lanes: int) -> list[np.ndarra
             for i in range(lanes)]
 
 
-PREFIX_SCHEMA = "key long, sig long, n int, pos int, parity long, parity2 long, hot boolean"
+PREFIX_SCHEMA = "key long, sig long, n int, pos int"
+PACK_SCHEMA = "bucket int, data binary"
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], cut: Callable, levels, t: float) -> Iterator[pa.RecordBatch]:
+def prefix_kind(lanes: int) -> np.dtype:
+    """A prefix row on its way through the network."""
+    return np.dtype([("key", "<i8"), ("sig", "<i8"), ("n", "<i4"), ("pos", "<i4"), ("parity", "<u8", (lanes,))])
+
+
+def packed(rows: np.ndarray) -> bytes:
+    """The rows' first bytes, then their second ones and so on, so that bytes most rows share compress."""
+    return rows.view(np.uint8).reshape(len(rows), -1).T.tobytes()
+
+
+def unpacked(data: pa.Buffer, kind: np.dtype) -> np.ndarray:
+    """The rows that ``packed`` made."""
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1).T).reshape(-1).view(kind)
+
+
+def prefix_length(n: np.ndarray, t: float) -> np.ndarray:
+    """Elements of which similar sets share one: n - ceil(t n) + 1."""
+    return n - np.ceil(t * n - 1e-9).astype(n.dtype) + 1
+
+
+def prefix_rows(parts: Parts, sig: np.ndarray, levels: np.ndarray, t: float, lanes: int) -> np.ndarray:
+    """A row for each element of a part's prefix that is not the only one of its bucket of counts."""
+    codes, first = ordered_sets(parts, levels)
+    n = np.diff(first)
+    part = owners(first)
+    pos = np.arange(len(codes)) - first[part]
+    pick = (pos < prefix_length(n, t)[part]) & (codes >> np.uint64(HASH_BITS) > 0)
+    rows = np.empty(int(pick.sum()), prefix_kind(lanes))
+    part = part[pick]
+    rows["key"], rows["sig"], rows["n"], rows["pos"] = codes[pick], sig[part].view(np.int64), n[part], pos[pick]
+    for i, x in enumerate(parities(codes, first, lanes)):
+        rows["parity"][:, i] = x[part]
+    return rows
+
+
+def dealt(rows: np.ndarray, rounds: int, buckets: int, hot: int) -> tuple[np.ndarray, np.ndarray]:
+    """(round, bucket) of prefix rows: one for all rows of a key, any for those of very frequent keys."""
+    frequent = rows["key"] >> HASH_BITS >= hot
+    spread = mix(np.where(frequent, rows["sig"], rows["key"]).view(np.uint64))
+    return spread % np.uint64(rounds), (spread >> np.uint64(20)) % np.uint64(buckets)
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], cut: Callable, levels, t: float, lanes: int, turn: int, rounds: int,
+              buckets: int, hot: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, packed prefix rows of one round): PACK_ROWS rows are sorted into their buckets at a time."""
     seen: set = set()
+    waiting: list[np.ndarray] = []
+
+    def packs() -> pa.RecordBatch:
+        rows = np.concatenate(waiting)
+        waiting.clear()
+        bucket = dealt(rows, rounds, buckets, hot)[1]
+        order = np.lexsort((rows["key"], bucket))
+        rows, (ids, at) = rows[order], np.unique(bucket[order], return_index=True)
+        data = [packed(rows[lo:hi]) for lo, hi in zip(at, [*at[1:], len(rows)])]
+        return pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array(data, pa.binary())],
+                                          ["bucket", "data"])
+
     for batch in batches:
         for _, _, raw, at in slices(batch.column(1)):
             parts = cut(raw, at)
             sig = signatures(parts)
             keep = fresh(sig, seen)
-            sig = sig[keep]
-            codes, first = ordered_sets(chosen(parts, keep), levels.value)
-            n = np.diff(first)
-            part = owners(first)
-            pos = np.arange(len(codes)) - first[part]
-            if not len(codes):
-                continue
-            parity = parities(codes, first, PREFIX_LANES)
-            pick = (pos < prefix_length(n, t)[part]) & (codes >> np.uint64(HASH_BITS) > 0)
-            part = part[pick]
-            yield pa.RecordBatch.from_arrays(
-                [_long(codes[pick]), _long(sig[part]), pa.array(n[part].astype(np.int32)),
-                 pa.array(pos[pick].astype(np.int32)), *(_long(x[part]) for x in parity),
-                 pa.array(codes[pick] >> np.uint64(HASH_BITS) >= HOT_LEVEL)],
-                ["key", "sig", "n", "pos", "parity", "parity2", "hot"])
-
-
-def prefix_length(n: np.ndarray, t: float) -> np.ndarray:
-    """Elements of which similar sets share one: n - ceil(t n) + 1."""
-    return n - np.ceil(t * n - 1e-9).astype(n.dtype) + 1
+            rows = prefix_rows(chosen(parts, keep), sig[keep], levels.value, t, lanes)
+            rows = rows[dealt(rows, rounds, buckets, hot)[0] == turn]
+            if len(rows):
+                waiting.append(rows)
+            if sum(map(len, waiting)) >= PACK_ROWS:
+                yield packs()
+    if waiting:
+        yield packs()
 
 
-def _alive(key, sig, n, pos, parity, parity2, hot, t: float) -> np.ndarray:
-    """Which rows (sorted by key and n) have another of their key that passes all filters; hot ones do anyway."""
-    alive = hot.copy()
+def _alive(key, sig, n, pos, parity: list[np.ndarray], t: float) -> np.ndarray:
+    """Which rows (sorted by key and n) have another of their key that passes all filters."""
     size = len(key)
+    alive = np.zeros(size, bool)
     group = np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1
 
     def test(a, b):
@@ -272,7 +320,7 @@ def _alive(key, sig, n, pos, parity, parity2, hot, t: float) -> np.ndarray:
         most = np.minimum(n[a] - pos[a], n[b] - pos[b])
         ok = (sig[a] != sig[b]) & (most >= need) & (n[b] * t <= n[a] + 1e-9)
         a, b = a[ok], b[ok]
-        apart = np.bitwise_count(parity[a] ^ parity[b]) + np.bitwise_count(parity2[a] ^ parity2[b])
+        apart = sum(np.bitwise_count(x[a] ^ x[b]) for x in parity)
         ok = apart <= n[a] + n[b] - 2 * need[ok]
         alive[a[ok]] = True
         alive[b[ok]] = True
@@ -282,52 +330,74 @@ def _alive(key, sig, n, pos, parity, parity2, hot, t: float) -> np.ndarray:
         a = a[(group[a] == group[a + step]) & ~(alive[a] & alive[a + step])]
         test(a, a + step)
     code = (group << 32) | n
-    high = np.searchsorted(code, (group << 32) | np.floor(n / t + 1e-9).astype(np.int64), "right")
-    low = np.searchsorted(code, (group << 32) | np.ceil(n * t - 1e-9).astype(np.int64), "left")
     todo = np.flatnonzero(~alive)
-    count = (high - low)[todo]
+    at_least, at_most = np.ceil(n[todo] * t - 1e-9).astype(np.int64), np.floor(n[todo] / t + 1e-9).astype(np.int64)
+    high = np.searchsorted(code, (group[todo] << 32) | at_most, "right")
+    low = np.searchsorted(code, (group[todo] << 32) | at_least, "left")
+    count = high - low
     at = 0
     total = np.cumsum(count)
     while at < len(todo):
         end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIR_BLOCK, "right")))
         a = np.repeat(todo[at:end], count[at:end])
-        b = ranges(low[todo[at:end]], count[at:end])
+        b = ranges(low[at:end], count[at:end])
         test(np.minimum(a, b), np.maximum(a, b))
         at = end
     return alive
 
 
-def _shared(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.RecordBatch]:
-    """Prefix rows with a possible partner, from rows sorted by key and n; only a key's rows are held together."""
-    held: list[pa.RecordBatch] = []
-
-    def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, sig, n, pos, parity, parity2, hot = (rows.column(i).to_numpy() for i in range(7))
-        alive = _alive(key, sig, n.astype(np.int64), pos.astype(np.int64), parity.view(np.uint64),
-                       parity2.view(np.uint64), hot, t)
-        yield from rows.filter(pa.array(alive)).drop_columns(["hot"]).to_batches()
-
+def _settled(rows: np.ndarray, t: float, hot: int) -> pa.RecordBatch:
+    """The rows of a bucket with a possible partner; those of very frequent keys have one anyway."""
+    frequent = rows["key"] >> HASH_BITS >= hot
+    rest = rows[~frequent]
+    rest = rest[np.lexsort((rest["n"], rest["key"]))]
+    key = rest["key"]
+    same = key[1:] == key[:-1]
+    rest = rest[np.r_[False, same] | np.r_[same, False]] if len(rest) else rest
+    if len(rest):
+        parity = [np.ascontiguousarray(rest["parity"][:, i]) for i in range(rest["parity"].shape[1])]
+        key, sig = (np.ascontiguousarray(rest[c]) for c in ("key", "sig"))
+        rest = rest[_alive(key, sig, rest["n"].astype(np.int64), rest["pos"].astype(np.int64), parity, t)]
+    out = np.concatenate([rows[frequent], rest])
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[c])) for c in ("key", "sig", "n", "pos")],
+                                      ["key", "sig", "n", "pos"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch], t: float, lanes: int, hot: int) -> Iterator[pa.RecordBatch]:
+    """Prefix rows with a possible partner, from packs sorted by bucket; only a bucket's rows are held together."""
+    kind, held, current = prefix_kind(lanes), [], None
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = batch.column(0).to_numpy()
-        cut = int(np.searchsorted(key, key[-1]))
-        if cut or (held and held[-1].column(0)[0].as_py() != key[0]):
-            yield from settle(pa.Table.from_batches([*held, batch.slice(0, cut)], schema=batch.schema))
-            held = []
-        held.append(batch.slice(cut))
+        for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if held and bucket != current:
+                yield _settled(np.concatenate(held), t, hot)
+                held = []
+            current = bucket
+            held.append(unpacked(data.as_buffer(), kind))
     if held:
-        yield from settle(pa.Table.from_batches(held))
+        yield _settled(np.concatenate(held), t, hot)
 
 
-def shared_prefixes(docs: DataFrame, cut: Callable, levels, t: float) -> DataFrame:
-    """Stored rows (key, sig, n, pos, parity, parity2): prefix elements that may join their part with another."""
-    rows = docs.mapInArrow(partial(_prefixes, cut=cut, levels=levels, t=t), PREFIX_SCHEMA)
-    dealt = rows.repartition("key", F.when(F.col("hot"), F.pmod("sig", F.lit(SALTS))).otherwise(0))
-    sorted_rows = dealt.sortWithinPartitions("key", "n")
-    out = stored(sorted_rows.mapInArrow(partial(_shared, t=t), PREFIX_SCHEMA.removesuffix(", hot boolean")), "prefixes")
-    del rows, dealt, sorted_rows
-    free_shuffles(docs.sparkSession)
+def shared_prefixes(docs: DataFrame, cut: Callable, levels, t: float, scanned: DataFrame, lanes: int) -> DataFrame:
+    """Stored rows (key, sig, n, pos): prefix elements that may join their part with another.
+
+    ``lanes`` 64-bit parity words go with every row. The keys are dealt over rounds, each with a pass over the texts,
+    so that only a share of the prefix rows is on disk at a time; buckets, in number as the rows, bound a task's memory.
+    """
+    spark = docs.sparkSession
+    length = F.col("n") - F.ceil(F.lit(t) * F.col("n") - 1e-9) + 1
+    expected = scanned.where(F.col("kind") == PART).agg(F.sum(length)).first()[0] or 0
+    rounds = ROUNDS if expected >= PACK_ROWS else 1
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-expected // (rounds * BUCKET_ROWS)))
+    out = None
+    for turn in range(rounds):
+        packs = docs.mapInArrow(partial(_prefixes, cut=cut, levels=levels, t=t, lanes=lanes, turn=turn, rounds=rounds,
+                                        buckets=buckets, hot=HOT_LEVEL), PACK_SCHEMA)
+        sorted_packs = packs.repartition("bucket").sortWithinPartitions("bucket")
+        found = stored(sorted_packs.mapInArrow(partial(_shared, t=t, lanes=lanes, hot=HOT_LEVEL), PREFIX_SCHEMA),
+                       "prefixes")
+        out = found if out is None else out.union(found)
+        del packs, sorted_packs
+        free_shuffles(spark)
     return out
 
 
@@ -373,8 +443,8 @@ def candidate_sets(docs: DataFrame, cut: Callable, levels, shared: DataFrame) ->
 
 
 def sketched(shared: DataFrame, sets: DataFrame) -> DataFrame:
-    """Prefix rows with the sketch of their part in place of the short parities."""
-    return shared.drop("parity", "parity2").join(sets.select("sig", *SKETCH), "sig")
+    """Prefix rows with the sketch of their part."""
+    return shared.join(sets.select("sig", *SKETCH), "sig")
 
 
 def possible(left: str, right: str, t: float) -> str:
