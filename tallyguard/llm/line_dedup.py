@@ -18,7 +18,7 @@ from tallyguard.session import stored
 
 LEAST_WORDS = 1
 SIMILARITY = 0.75
-PREFIX_LANES = 2
+PREFIX_LANES, ROUNDS = 2, 2
 
 
 def later_matches(shared: DataFrame, sets: DataFrame, places: DataFrame, t: float) -> DataFrame:
@@ -60,7 +60,7 @@ def line_decisions(docs: DataFrame, t: float = SIMILARITY, least: int = LEAST_WO
     texts = docs.select("doc_id", "text")
     scanned = scan_parts(texts, cut, distinct=False)
     levels = spark.sparkContext.broadcast(rarity_levels(scanned))
-    shared = shared_prefixes(texts, cut, levels, t, scanned, PREFIX_LANES)
+    shared = shared_prefixes(texts, cut, levels, t, scanned, PREFIX_LANES, ROUNDS)
     lines = scanned.where(F.col("kind") == PART).select(F.col("id").alias("doc_id"), "number", "sig")
     place = F.struct("doc_id", "number")
     firsts = lines.groupBy("sig").agg(F.min(place).alias("place"), F.count("*").alias("c"))

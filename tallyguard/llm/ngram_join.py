@@ -17,7 +17,7 @@ from tallyguard.session import stored
 
 WIDTH = 5
 SIMILARITY = 0.75
-PREFIX_LANES = 2
+PREFIX_LANES, ROUNDS = 2, 3
 FIRST_KEYS, STARS = 12, 1
 PAIR = ("least(l.sig, r.sig) AS a", "greatest(l.sig, r.sig) AS b")
 
@@ -79,7 +79,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, t: float = SIMILARITY)
     texts = docs.select("doc_id", "text")
     scanned = scan_parts(texts, cut, distinct=True)
     levels = spark.sparkContext.broadcast(rarity_levels(scanned))
-    shared = shared_prefixes(texts, cut, levels, t, scanned, PREFIX_LANES)
+    shared = shared_prefixes(texts, cut, levels, t, scanned, PREFIX_LANES, ROUNDS)
     groups = link_groups(shared, candidate_sets(texts, cut, levels, shared), t)
     parts = scanned.where(F.col("kind") == PART).select(F.col("id").alias("doc_id"), "sig", "n")
     rooted = parts.join(groups.withColumnRenamed("node", "sig"), "sig", "left").withColumn(

@@ -14,6 +14,7 @@ from __future__ import annotations
 import gc
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import partial
 
@@ -31,10 +32,9 @@ CANDIDATE_BITS = 25
 HASH_BITS = 46
 BLOCK = 1 << 12
 PAIR_BLOCK = 1 << 18
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 LANES = 8
 """64-bit parity words of the sketches that pairs are sifted by."""
-ROUNDS = 2
-"""Passes over the texts by which the prefix rows go over the network."""
 PACK_ROWS, BUCKET_ROWS = 1 << 19, 1 << 17
 """Prefix rows that a task sorts into buckets at a time, and rows of a bucket."""
 HOT_LEVEL = 40
@@ -377,30 +377,44 @@ def _shared(batches: Iterator[pa.RecordBatch], t: float, lanes: int, hot: int) -
         yield _settled(np.concatenate(held), t, hot)
 
 
-def shared_prefixes(docs: DataFrame, cut: Callable, levels, t: float, scanned: DataFrame, lanes: int) -> DataFrame:
+def shared_prefixes(docs: DataFrame, cut: Callable, levels, t: float, scanned: DataFrame, lanes: int,
+                    rounds: int) -> DataFrame:
     """Stored rows (key, sig, n, pos): prefix elements that may join their part with another.
 
-    ``lanes`` 64-bit parity words go with every row. The keys are dealt over rounds, each with a pass over the texts,
-    so that only a share of the prefix rows is on disk at a time; buckets, in number as the rows, bound a task's memory.
+    ``lanes`` 64-bit parity words go with every row. The keys are dealt over ``rounds``, each with a pass over the
+    texts, so that only a share of the prefix rows is on disk at a time (few rows go in one); buckets, in number as
+    the rows, bound a task's memory.
     """
     spark = docs.sparkSession
     length = F.col("n") - F.ceil(F.lit(t) * F.col("n") - 1e-9) + 1
     expected = scanned.where(F.col("kind") == PART).agg(F.sum(length)).first()[0] or 0
-    rounds = ROUNDS if expected >= PACK_ROWS else 1
+    rounds = rounds if expected >= PACK_ROWS else 1
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-expected // (rounds * BUCKET_ROWS)))
     out = None
     for turn in range(rounds):
         packs = docs.mapInArrow(partial(_prefixes, cut=cut, levels=levels, t=t, lanes=lanes, turn=turn, rounds=rounds,
                                         buckets=buckets, hot=HOT_LEVEL), PACK_SCHEMA)
         sorted_packs = packs.repartition("bucket").sortWithinPartitions("bucket")
-        found = stored(sorted_packs.mapInArrow(partial(_shared, t=t, lanes=lanes, hot=HOT_LEVEL), PREFIX_SCHEMA),
-                       "prefixes")
+        with shuffles_removed(spark):
+            found = stored(sorted_packs.mapInArrow(partial(_shared, t=t, lanes=lanes, hot=HOT_LEVEL), PREFIX_SCHEMA),
+                           "prefixes")
         out = found if out is None else out.union(found)
         del packs, sorted_packs
         free_shuffles(spark)
     return out
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Have Spark delete the shuffle files of every write when it ends, not when the driver's garbage goes."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let the driver collect its garbage, upon which Spark deletes the shuffle files of finished steps."""
     gc.collect()

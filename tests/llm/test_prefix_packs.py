@@ -78,14 +78,14 @@ def partners(rows):
 
 @pytest.mark.parametrize("pack_rows", [1, 1 << 19])
 def test_rows_with_a_partner_come_out(spark, monkeypatch, pack_rows):
-    """In one round and in two; buckets, packs and partitions make no difference."""
+    """In one round and in three; buckets, packs and partitions make no difference."""
     monkeypatch.setattr(setjoin, "PACK_ROWS", pack_rows)
     monkeypatch.setattr(setjoin, "BUCKET_ROWS", 100)
     docs = spark.createDataFrame(list(enumerate(lines())), "doc_id long, text string").repartition(3)
     cut = partial(setjoin.line_parts, least=1)
     scanned = setjoin.scan_parts(docs, cut, distinct=False)
     levels = spark.sparkContext.broadcast(Levels.value)
-    shared = setjoin.shared_prefixes(docs, cut, levels, T, scanned, 2)
+    shared = setjoin.shared_prefixes(docs, cut, levels, T, scanned, 2, 3)
     found = [(r.key, r.sig, r.pos) for r in shared.select("key", "sig", "pos").distinct().collect()]
     assert len(found) > 40 and set(found) == partners(prefix_rows(lines()))
 
@@ -95,4 +95,12 @@ def test_no_texts(spark):
     cut = partial(setjoin.line_parts, least=1)
     scanned = setjoin.scan_parts(docs, cut, distinct=False)
     levels = spark.sparkContext.broadcast(Levels.value)
-    assert setjoin.shared_prefixes(docs, cut, levels, T, scanned, 2).agg(F.count("*")).first()[0] == 0
+    assert setjoin.shared_prefixes(docs, cut, levels, T, scanned, 2, 3).agg(F.count("*")).first()[0] == 0
+
+
+def test_cleanup_setting_is_put_back(spark):
+    before = spark.conf.get(setjoin.CLEANUP)
+    with pytest.raises(ValueError), setjoin.shuffles_removed(spark):
+        assert spark.conf.get(setjoin.CLEANUP) == "true"
+        raise ValueError
+    assert spark.conf.get(setjoin.CLEANUP) == before
