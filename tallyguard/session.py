@@ -7,6 +7,8 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,13 +65,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` once as a Parquet table in the scratch folder and read it back.
 
     Cuts lineage on reliable storage: lost executors re-read files, and values that depend on the
-    run (row ids, sampled range bounds) are fixed from here on.
+    run (row ids, sampled range bounds) are fixed from here on. ``rows_per_file`` limits the rows of
+    a file where rows are large.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_table(table: DataFrame) -> None:
+    """Delete a table that ``stored`` returned; frames that still read it are void then."""
+    spark = table.sparkSession
+    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Settings for the writes inside, put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
