@@ -55,6 +55,14 @@ def test_disk_grows_with_points_not_pairs(spark, mode):
     assert most[0] < 12 * 1000 * 48 * 8
 
 
+@pytest.mark.parametrize("mode", ["exact", "hashed"])
+def test_only_what_the_result_reads_is_left(spark, mode):
+    before = set(os.listdir(scratch_root(spark))) if os.path.isdir(scratch_root(spark)) else set()
+    rows = knn_self_join(points(spark, 200, 4), 2, mode=mode, **({"tables": 3} if mode == "hashed" else {}))
+    left = {name.rpartition("-")[0] for name in set(os.listdir(scratch_root(spark))) - before}
+    assert left == {"asked", "query-blocks"} and rows.count() == 400
+
+
 @pytest.mark.parametrize("mode", ["exact", "hashed"])
 def test_blocks_do_not_change_what_is_found(spark, mode):
     df = points(spark, 400, 5)
